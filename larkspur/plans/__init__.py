@@ -1,6 +1,6 @@
 """Registered queries over the given tables, each with the SQL that checks it where SQL can."""
 
-from larkspur.plans import churn, retrieval, scoring  # noqa: F401
+from larkspur.plans import churn, evaluation, messages, pages, retrieval, scoring  # noqa: F401
 from larkspur.plans.registry import ORACLES, QUERIES
 
 
