@@ -20,6 +20,14 @@ def tokens(value: Column) -> Column:
     return F.array_remove(F.split(F.lower(value), TOKEN_BREAK), "")
 
 
+def each_token(words: Column) -> Column:
+    """Generator over a computed token array, with one NULL row for an empty one.
+
+    A plain explode makes Spark test the array's size below it, which computes the tokens again.
+    """
+    return F.explode_outer(words)
+
+
 def token_set(value: Column) -> Column:
     return F.array_distinct(tokens(value))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions.text import tokens
+from larkspur.functions.text import each_token, tokens
 
 # Room for this many chunks per document in an integer chunk id.
 CHUNKS_PER_DOCUMENT = 1_000_000
@@ -53,8 +53,8 @@ def sparse_vectors(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     further exchange.
     """
     words = texts.repartition(F.col(key)).select(key, tokens(F.col(text)).alias("words"))
-    exploded = words.select(key, F.size("words").alias("dl"), F.explode("words").alias("term"))
-    counted = exploded.groupBy(key, "term").agg(
+    each = words.select(key, F.size("words").alias("dl"), each_token(F.col("words")).alias("term"))
+    counted = each.where(F.col("term").isNotNull()).groupBy(key, "term").agg(
         F.count("*").alias("tf"), F.first("dl").cast("long").alias("dl")
     )
     return counted.select(key, "term", "tf", "dl")

@@ -11,8 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions.text import token_set, tokens
+from larkspur.functions.text import each_token, token_set, tokens
 from larkspur.operators.topk import Scorer, rank_hits, topk_join
+from larkspur.session import shared_folder, spread
 
 # Number of retrieved chunks; usual BM25 and rank-fusion parameters.
 TOP_K = 3
@@ -81,8 +82,12 @@ def term_statistics(corpus: DataFrame, terms: DataFrame) -> DataFrame:
 
 def query_weights(queries: DataFrame, corpus: DataFrame, idf: bool = True) -> DataFrame:
     """``query_id, terms, weights, avgdl``: each query as a sparse vector."""
-    terms = queries.select("query_id", F.explode(token_set(F.col("text"))).alias("term"))
-    statistics = term_statistics(corpus, terms)
+    exploded = queries.select("query_id", each_token(token_set(F.col("text"))).alias("term"))
+    terms = exploded.where(F.col("term").isNotNull())
+    shared_folder(queries.sparkSession)
+    # Two readers want different columns of this, which would count the corpus twice. The result
+    # has one row per query term, so it is stored.
+    statistics = term_statistics(corpus, terms).checkpoint()
     size = statistics.where(F.col("term") == "").select(F.struct("df", "length").alias("s")).scalar()
     weighted = terms.join(statistics, "term").withColumn("s", size)
     rarity = F.log(1 + (F.col("s.df") - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -148,7 +153,8 @@ def bm25_topk(
     ``queries`` carry ``query_id, text`` and the corpus ``<item_id>, text``. Whole texts are
     tokenised; a text without any query term is no hit.
     """
-    corpus = corpus.select(item_id, tokens(F.col("text")).alias("words"))
+    texts = spread(corpus.select(item_id, "text"), item_id)
+    corpus = texts.select(item_id, tokens(F.col("text")).alias("words"))
     weighted = query_weights(queries, corpus, idf)
     return topk_join(weighted, corpus, _bm25_scorer(k1, b), k, item_id, **limits)
 

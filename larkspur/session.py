@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -50,3 +50,13 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows over the cores where there are fewer input files than cores.
+
+    A lone file is often one row group and then one task, which heavy work per row should not wait
+    for. With as many files as cores nothing is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
