@@ -17,10 +17,10 @@ def chunk_documents(documents: DataFrame, *keep: str) -> DataFrame:
     ``seq`` starts at 0 in every document, and the title goes in front of the text. Chunks follow
     the given blocks; splitting on article numbers would also cut at citations.
     """
-    pieces = documents.select(
-        *keep, "file_name", "url", "title", F.posexplode("contents").alias("seq", "piece")
-    )
-    return pieces.withColumn("content", F.concat_ws("\n", "title", "piece")).drop("piece")
+    # The outer form keeps Spark from computing the array once more to test its size.
+    each = F.posexplode_outer("contents").alias("seq", "piece")
+    pieces = documents.select(*keep, "file_name", "url", "title", each)
+    return pieces.where(F.col("seq").isNotNull()).withColumn("content", F.concat_ws("\n", "title", "piece")).drop("piece")
 
 
 def chunk_id(document_id: Column, seq: Column) -> Column:
