@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -16,8 +16,11 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed order of the two-valued category.
+# Fixed order of the two-valued category, and the prefixes of the encoded columns' names.
 GENDERS = ("Male", "Female")
+ONE_HOT = {"country": "onehot", "risk_age_rank": "onehot_age_rank"}
+ORDINAL = {"gender": ("ordinal_gender", GENDERS)}
+REMAINDER = "remainder"
 
 # Levels travel through the driver and become columns; more than this is not a category.
 MAX_LEVELS = 10_000
@@ -73,19 +76,20 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def feature_pipeline(
     passthrough: Sequence[str],
-    one_hot_columns: Sequence[str] = ("country", "risk_age_rank"),
-    ordinal_columns: Sequence[tuple[str, Sequence[str]]] = (("gender", GENDERS),),
+    one_hot_columns: Mapping[str, str] = ONE_HOT,
+    ordinal_columns: Mapping[str, tuple[str, Sequence[str]]] = ORDINAL,
     scaler: str | None = None,
 ) -> Pipeline:
     """Unfitted encoder into ``features``: one-hot, ordinal, then the remaining columns.
 
     The indexer keeps one extra slot for unseen and missing values and the encoder drops exactly
-    that slot, so such rows become all zeros. ``scaler`` is ``"standard"``, ``"robust"`` or None.
+    that slot, so such rows become all zeros. The mappings give each encoded column the prefix of
+    its feature names, and the ordered categories of the ordinal ones. ``scaler`` is ``"standard"``, ``"robust"`` or None.
     """
     stages = []
     inputs = []
-    for column in one_hot_columns:
-        index, vector = f"{column}__index", f"onehot_{column}"
+    for column, prefix in one_hot_columns.items():
+        index, vector = f"{column}__index", f"{prefix}__{column}"
         stages.append(
             StringIndexer(
                 inputCol=column,
@@ -96,15 +100,15 @@ def feature_pipeline(
         )
         stages.append(OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True))
         inputs.append(vector)
-    for column, categories in ordinal_columns:
+    for column, (prefix, categories) in ordinal_columns.items():
         cases = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(categories))
         statement = (
             f"SELECT *, CASE {column} {cases} "
             f"ELSE raise_error(concat('unknown {column}: ', coalesce({column}, 'NULL'))) END "
-            f"AS ordinal_{column} FROM __THIS__"
+            f"AS {prefix}__{column} FROM __THIS__"
         )
         stages.append(SQLTransformer(statement=statement))
-        inputs.append(f"ordinal_{column}")
+        inputs.append(f"{prefix}__{column}")
     inputs += passthrough
     raw = "features" if scaler is None else "features__raw"
     stages.append(VectorAssembler(inputCols=inputs, outputCol=raw, handleInvalid="keep"))
@@ -120,8 +124,19 @@ def feature_pipeline(
 
 
 def feature_names(encoder: PipelineModel, encoded: DataFrame) -> list[str]:
-    """Names of the feature slots in vector order, as ``column_level`` for one-hot slots."""
+    """Names of the feature slots in vector order: ``prefix__column_level`` for one-hot slots,
+    ``prefix__column`` for the others."""
     assembler = next(s for s in encoder.stages if isinstance(s, VectorAssembler))
     metadata = encoded.schema[assembler.getOutputCol()].metadata["ml_attr"]["attrs"]
     slots = sorted((a["idx"], a["name"]) for kind in metadata.values() for a in kind)
-    return [name for _, name in slots]
+    return [name if "__" in name else f"{REMAINDER}__{name}" for _, name in slots]
+
+
+def feature_count(encoded: DataFrame, column: str = "features") -> int:
+    """Length of a feature vector, from its metadata or, failing that, from one row."""
+    described = encoded.schema[column].metadata.get("ml_attr", {})
+    if "num_attrs" in described:
+        return described["num_attrs"]
+    if "attrs" in described:
+        return sum(len(kind) for kind in described["attrs"].values())
+    return len(encoded.select(column).first()[0])

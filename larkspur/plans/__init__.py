@@ -1,6 +1,15 @@
 """Registered queries over the given tables, each with the SQL that checks it where SQL can."""
 
-from larkspur.plans import churn, evaluation, messages, oversampling, pages, retrieval, scoring  # noqa: F401
+from larkspur.plans import (  # noqa: F401
+    churn,
+    evaluation,
+    messages,
+    modelling,
+    oversampling,
+    pages,
+    retrieval,
+    scoring,
+)
 from larkspur.plans.registry import ORACLES, QUERIES
 
 

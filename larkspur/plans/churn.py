@@ -16,6 +16,7 @@ from larkspur.sources.tables import table
 
 CHURN_DATE = "2000-07-01"
 ACTIVE_DATE = "2001-01-01"
+SNAPSHOT_ACTIVE_DATE = "2000-01-01"
 
 HASH_SQL = "((({0} % 2147483647) * 48271 + {1}) % 2147483647) * 16807 % 2147483647"
 
@@ -56,11 +57,25 @@ WITH order_facts AS (
 def churn_view(spark: SparkSession, folder: str) -> DataFrame:
     """Stand-in customer table. A join whose columns a query leaves unused is pruned away, since
     its right side is unique on the key."""
+    return _customer_view(spark, folder, ACTIVE_DATE, CHURN_DATE, None)
+
+
+def snapshot_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The stand-in for model runs: features know only the orders before the churn date, so the
+    label (no order from then on) is not among them."""
+    return _customer_view(spark, folder, SNAPSHOT_ACTIVE_DATE, CHURN_DATE, CHURN_DATE)
+
+
+def _customer_view(
+    spark: SparkSession, folder: str, active_date: str, churn_date: str, snapshot: str | None
+) -> DataFrame:
     customer = table(spark, folder, "customer")
     nation = table(spark, folder, "nation").groupBy("n_nationkey").agg(
         F.first("n_name").alias("country")
     )
-    orders = table(spark, folder, "orders")
+    orders = all_orders = table(spark, folder, "orders")
+    if snapshot is not None:
+        orders = all_orders.where(F.col("o_orderdate") < F.lit(snapshot).cast("timestamp"))
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
     order_facts = orders.groupBy("o_custkey").agg(
         F.round(F.sum("o_totalprice"), 2).alias("estimated_salary"),
@@ -77,6 +92,7 @@ def churn_view(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("o_custkey")
         .agg(F.count("*").alias("products_number"))
     )
+    last_orders = all_orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_ever"))
     key = F.col("c_custkey")
     last_day = F.col("last_day")
     days = F.datediff("last_day", "first_day")
@@ -84,6 +100,7 @@ def churn_view(spark: SparkSession, folder: str) -> DataFrame:
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(order_facts.withColumnRenamed("o_custkey", "f_key"), key == F.col("f_key"), "left")
         .join(part_facts.withColumnRenamed("o_custkey", "p_key"), key == F.col("p_key"), "left")
+        .join(last_orders.withColumnRenamed("o_custkey", "e_key"), key == F.col("e_key"), "left")
         .select(
             key.alias("customer_id"),
             (350 + portable_hash(key, 1) % 501).cast("int").alias("credit_score"),
@@ -94,11 +111,11 @@ def churn_view(spark: SparkSession, folder: str) -> DataFrame:
             F.col("c_acctbal").alias("balance"),
             F.coalesce("products_number", F.lit(0)).cast("int").alias("products_number"),
             (portable_hash(key, 4) % 2).cast("int").alias("credit_card"),
-            F.coalesce((last_day >= F.lit(ACTIVE_DATE).cast("timestamp")).cast("int"), F.lit(0)).alias(
+            F.coalesce((last_day >= F.lit(active_date).cast("timestamp")).cast("int"), F.lit(0)).alias(
                 "active_member"
             ),
             F.coalesce("estimated_salary", F.lit(0.0)).alias("estimated_salary"),
-            F.coalesce((last_day < F.lit(CHURN_DATE).cast("timestamp")).cast("int"), F.lit(1)).alias(
+            F.coalesce((F.col("last_ever") < F.lit(churn_date).cast("timestamp")).cast("int"), F.lit(1)).alias(
                 "churn"
             ),
         )
