@@ -50,8 +50,12 @@ def first_attribute(html: Column, tag: str, attribute: str, css_class: str | Non
     else:
         name = rf"""class\s*=\s*["'][^"'>]*(?<![^\s"']){re.escape(css_class)}(?![^\s"'])"""
         opening = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*{name}[^>]*>", 0)
-    quoted = rf"""(?is)\s{attribute}\s*=\s*["']([^"']*)["']"""
-    return empty_to_null(F.regexp_extract(opening, quoted, 1))
+    quoted = rf"""(?is)\s{attribute}\s*=\s*(["'])(.*?)\1"""
+    bare = rf"""(?is)\s{attribute}\s*=\s*([^\s"'>]+)"""
+    return F.coalesce(
+        empty_to_null(F.regexp_extract(opening, quoted, 2)),
+        empty_to_null(F.regexp_extract(opening, bare, 1)),
+    )
 
 
 def background_url(style: Column) -> Column:

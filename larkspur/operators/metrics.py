@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.numeric import ratio_or_zero
-from larkspur.operators.ordered import range_by_bounds, running_totals
+from larkspur.operators.ordered import running_totals, with_ranges
 
 # The compared thresholds and the goals they are judged by.
 THRESHOLDS = (0.50, 0.47)
@@ -79,12 +79,7 @@ def _cumulative(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     running = running_totals(
-        counts,
-        ["threshold"],
-        ["pos", "neg"],
-        range_number=range_by_bounds(counts, "threshold"),
-        by=by,
-        descending=True,
+        with_ranges(counts, "threshold"), ["threshold"], ["pos", "neg"], by=by, descending=True
     ).withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
     totals = {
         "all_pos": F.count_if(F.col(label) == 1),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,48 +17,49 @@ from larkspur.functions.numeric import PRIME
 from larkspur.session import shuffle_width
 
 MAX_RANGES = 1024
+RANGE = "__range"
 
 
 def _range_count(df: DataFrame) -> int:
     return max(2, min(MAX_RANGES, shuffle_width(df.sparkSession)))
 
 
-def range_by_bounds(df: DataFrame, key: str) -> Column:
-    """Range number of ``key`` from approximate quantiles, fitted now as literal bounds.
+def with_ranges(df: DataFrame, key: str) -> DataFrame:
+    """Add the range number of ``key``, from approximate quantiles of it fitted now.
 
-    Literals make every use of the range agree, also after a lost task runs again.
+    Fixed bounds make every use of the range agree, also after a lost task runs again.
     """
     parts = _range_count(df)
     shares = [i / parts for i in range(1, parts)]
     bounds = sorted(set(df.stat.approxQuantile(key, shares, 0.2 / parts)))
     if not bounds:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(key)))
+        return df.withColumn(RANGE, F.lit(0.0))
+    splits = [float("-inf"), *bounds, float("inf")]
+    return Bucketizer(
+        inputCol=key, outputCol=RANGE, splits=splits, handleInvalid="keep"
+    ).transform(df)
 
 
-def range_by_hash(df: DataFrame, key: str) -> Column:
-    """Range number of a portable hash, whose values are uniform by construction."""
-    return F.floor(F.col(key) * _range_count(df) / PRIME).cast("int")
+def with_hash_ranges(df: DataFrame, key: str) -> DataFrame:
+    """Add the range number of a portable hash, whose values are uniform by construction."""
+    return df.withColumn(RANGE, F.floor(F.col(key) * _range_count(df) / PRIME))
 
 
 def running_totals(
-    df: DataFrame,
+    ranged: DataFrame,
     order: Sequence[str],
     sums: Sequence[str],
-    *,
-    range_number: Column,
     by: Sequence[str] = (),
     descending: bool = False,
 ) -> DataFrame:
     """Add ``cum_<name>`` for every name in ``sums``: the total up to and including the row.
 
-    ``order`` must be unique within ``by``; ``range_number`` must not decrease along its first
-    column. Rows are expected to be aggregated to distinct order values already.
+    ``ranged`` carries the range number of the first ``order`` column. ``order`` must be unique
+    within ``by``: rows are expected to be aggregated to distinct order values already.
     """
-    ranged = df.withColumn("__range", range_number)
-    keys = [*by, "__range"]
+    keys = [*by, RANGE]
     totals = ranged.groupBy(*keys).agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
-    direction = F.col("__range").desc() if descending else F.col("__range").asc()
+    direction = F.col(RANGE).desc() if descending else F.col(RANGE).asc()
     # At most MAX_RANGES rows per group reach this window.
     before = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -67,16 +69,15 @@ def running_totals(
     inside = Window.partitionBy(*keys).orderBy(*columns).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(s).over(inside).alias(f"cum_{s}") for s in sums])
     return local.join(offsets, keys).select(
-        *df.columns, *[(F.col(f"cum_{s}") + F.col(f"__o_{s}")).alias(f"cum_{s}") for s in sums]
+        *[c for c in ranged.columns if c != RANGE],
+        *[(F.col(f"cum_{s}") + F.col(f"__o_{s}")).alias(f"cum_{s}") for s in sums],
     )
 
 
 def hash_rank(df: DataFrame, hash_column: str, key: str, out: str = "rank") -> DataFrame:
     """1-based rank of every row by ``(hash_column, key)``."""
-    counted = df.withColumn("__one", F.lit(1).cast("long"))
-    ranked = running_totals(
-        counted, [hash_column, key], ["__one"], range_number=range_by_hash(df, hash_column)
-    )
+    counted = with_hash_ranges(df.withColumn("__one", F.lit(1).cast("long")), hash_column)
+    ranked = running_totals(counted, [hash_column, key], ["__one"])
     return ranked.withColumnRenamed("cum___one", out).drop("__one")
 
 
@@ -88,7 +89,7 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> Data
     """
     values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
     counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, ["v"], ["n"], range_number=range_by_bounds(counts, "v"))
+    ranked = running_totals(with_ranges(counts, "v"), ["v"], ["n"])
     total = values.agg(F.count(F.lit(1)).alias("n")).scalar()
     first = F.col("cum_n") - F.col("n")
 

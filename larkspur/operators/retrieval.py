@@ -33,6 +33,8 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     """Unit-length rows; vectors of length zero become NaN."""
     flat = column.combine_chunks()
     values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if len(flat) == 0:
+        return np.zeros((0, 0))
     matrix = values.reshape(len(flat), -1)
     lengths = np.sqrt((matrix * matrix).sum(axis=1))
     lengths[lengths == 0] = np.nan
@@ -43,6 +45,8 @@ def _cosine_scorer(queries: pa.Table) -> Scorer:
     wanted = _matrix(queries.column("embedding"))
 
     def score(items: pa.Table) -> np.ndarray:
+        if items.num_rows == 0 or queries.num_rows == 0:
+            return np.zeros((items.num_rows, queries.num_rows))
         similarity = _matrix(items.column("embedding")) @ wanted.T
         return np.where(np.isnan(similarity), -np.inf, similarity)
 

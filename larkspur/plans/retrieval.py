@@ -226,15 +226,16 @@ def bm25_topk_chunks(spark, folder):
 HYBRID_SQL = (
     "WITH q AS (SELECT item_id AS query_id, embedding::DOUBLE[] AS v FROM benchmark "
     "JOIN embeddings ON vec_id = item_id),"
-    + COSINE_SQL.replace("scored", "dense_scored").replace("ranked", "dense_ranked")
+    + COSINE_SQL.replace("scored", "dense_scored")
+    .replace("ranked", "dense_ranked")
+    .replace("embeddings c", "(SELECT * FROM embeddings SEMI JOIN documents ON vec_id = doc_id) c")
     + ","
     + bm25_sql(ITEM_SQL, TEXT_SQL, "doc_id")
     + """, fused AS (
         SELECT coalesce(d.query_id, s.query_id) AS query_id, coalesce(vec_id, doc_id) AS doc_id,
                CAST(d.rank AS INTEGER) AS left_rank, CAST(s.rank AS INTEGER) AS right_rank,
                round(coalesce(1.0 / (60 + d.rank), 0) + coalesce(1.0 / (60 + s.rank), 0), 6) AS score
-        FROM (SELECT dense_ranked.* FROM dense_ranked SEMI JOIN documents ON vec_id = doc_id
-              WHERE rank <= 10) d
+        FROM (SELECT * FROM dense_ranked WHERE rank <= 10) d
         FULL OUTER JOIN (SELECT * FROM ranked WHERE rank <= 10) s
         ON d.query_id = s.query_id AND vec_id = doc_id
     ), numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)

@@ -43,7 +43,7 @@ def validate(raw: DataFrame, text: str, fields: Mapping[str, str]) -> DataFrame:
 
 def scan_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``*.json`` file of a folder: ``file_name`` (the stem), text and ``reject_reason``."""
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
+    raw = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"(.+)\.json$", 1)
     decoded = F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
     named = raw.select(decoded.alias("file_name"), F.col("value").alias("json"))
