@@ -1,12 +1,14 @@
 """Running totals, ranks and exact quantiles over a total order, without a one-task window.
 
-A window that only orders puts every row in one partition. Here the order is cut into ranges
-first: totals per range are few and are accumulated on their own, and each range then sums its own
-rows from that offset. Both results are exact; where the ranges lie changes only the balance.
+A window that only orders puts every row in one partition. For running totals the order is cut
+into ranges first: totals per range are few and are accumulated on their own, and each range then
+sums its own rows from that offset. Where the ranges lie changes only the balance. Quantiles need
+single ranks, which are enclosed in narrow intervals instead.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -17,6 +19,12 @@ from larkspur.functions.numeric import PRIME
 from larkspur.session import shuffle_width
 
 MAX_RANGES = 1024
+
+# Errors of the first quantile sketch and of further ones, and how many distinct values one task
+# may put in order.
+COARSE_ERROR = 1e-3
+FINE_ERROR = 1e-4
+ORDERED_ROWS = 200_000
 RANGE = "__range"
 
 
@@ -81,30 +89,87 @@ def hash_rank(df: DataFrame, hash_column: str, key: str, out: str = "rank") -> D
     return ranked.withColumnRenamed("cum___one", out).drop("__one")
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
+def _sketched(values: DataFrame, shares: Sequence[float], error: float):
+    """Row count and, per share, an interval sure to hold the ranks next to it; one pass.
+
+    The sketch is off by at most ``error`` times the rows. Three times that on either side also
+    covers the neighbouring rank, if there are more than ``1 / error`` rows.
+    """
+    wanted = [max(0.0, min(1.0, s + side * 3 * error)) for s in shares for side in (-1, 1)]
+    sketch = F.percentile_approx("v", wanted, round(1 / error)).alias("q")
+    row = values.agg(F.count(F.lit(1)).alias("n"), sketch).first()
+    if row["n"] == 0:
+        return 0, []
+    spans = []
+    for i in range(len(shares)):
+        low, high = wanted[2 * i], wanted[2 * i + 1]
+        start = row["q"][2 * i] if low > 0 else float("-inf")
+        end = row["q"][2 * i + 1] if high < 1 else float("inf")
+        spans.append((start, end))
+    return row["n"], spans
+
+
+def _narrow(values: DataFrame, span: tuple[float, float], rank: int, limit: int, error: float):
+    """Narrow one interval further until a task can put its values in order."""
+    start, end = span
+    while start < end:
+        inside = F.col("v").between(start, end)
+        counted = values.agg(
+            F.count_if(F.col("v") < start).alias("below"), F.count_if(inside).alias("inside")
+        ).first()
+        if counted["inside"] <= max(limit, 2 / error):
+            break
+        share = (rank - counted["below"]) / counted["inside"]
+        _, found = _sketched(values.where(inside), [share], error)
+        closer = max(start, found[0][0]), min(end, found[0][1])
+        if closer == (start, end):
+            break
+        start, end = closer
+    return start, end
+
+
+def exact_quantiles(
+    df: DataFrame, column: str, shares: Sequence[float], limit: int = ORDERED_ROWS
+) -> DataFrame:
     """One row ``q0, q1, …``: exact quantiles with linear interpolation, NULLs left out.
 
-    The built-in exact percentile keeps all distinct values in one buffer per group. This one
-    counts each value where it lies and reads the values at the wanted ranks off running totals.
+    The built-in exact percentile keeps all distinct values in one buffer. Here a sketch with a
+    sure error bound encloses each wanted rank first; then one pass counts what lies below and how
+    often each of the few enclosed values occurs. No pass shuffles the column.
     """
     values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(with_ranges(counts, "v"), ["v"], ["n"])
-    total = values.agg(F.count(F.lit(1)).alias("n")).scalar()
-    first = F.col("cum_n") - F.col("n")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank < F.col("cum_n")), F.col("v")))
-
-    picked = []
-    for i, share in enumerate(shares):
-        position = F.lit(share) * (F.col("total") - 1)
-        picked += [at(F.floor(position)).alias(f"lo{i}"), at(F.ceil(position)).alias(f"hi{i}")]
-    row = ranked.withColumn("total", total).agg(*picked, F.max("total").alias("total"))
-
-    def interpolate(i: int, share: float) -> Column:
-        position = F.lit(share) * (F.col("total") - 1)
-        low, high = F.col(f"lo{i}"), F.col(f"hi{i}")
-        return (low + (high - low) * (position - F.floor(position))).alias(f"q{i}")
-
-    return row.select(*[interpolate(i, share) for i, share in enumerate(shares)])
+    rows, spans = _sketched(values, shares, COARSE_ERROR)
+    positions = [share * max(0, rows - 1) for share in shares]
+    if rows <= max(limit, 2 / COARSE_ERROR):
+        spans = [(float("-inf"), float("inf"))] * len(shares)
+    elif 8 * COARSE_ERROR * rows > limit:
+        pairs = zip(spans, positions)
+        spans = [_narrow(values, span, math.floor(p), limit, FINE_ERROR) for span, p in pairs]
+    value = F.col("v")
+    holding = F.array_compact(
+        F.array(*[F.when(value.between(a, b), F.lit(i)) for i, (a, b) in enumerate(spans)])
+    )
+    inside = None
+    for a, b in spans:
+        inside = value.between(a, b) if inside is None else inside | value.between(a, b)
+    counts = (
+        values.where(inside)
+        .groupBy("v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("v", "n", F.explode(holding).alias("span"))
+    )
+    below = values.agg(F.array(*[F.count_if(value < a) for a, _ in spans]).alias("b")).scalar()
+    so_far = Window.partitionBy("span").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("cum", F.sum("n").over(so_far)).withColumn("b", below)
+    last = F.get("b", F.col("span")) + F.col("cum")
+    first = last - F.col("n")
+
+    def at(rank: int, span: int) -> Column:
+        here = (F.col("span") == span) & (first <= rank) & (rank < last)
+        return F.max(F.when(here, value))
+
+    def interpolate(span: int, position: float) -> Column:
+        low, high = at(math.floor(position), span), at(math.ceil(position), span)
+        return (low + (high - low) * (position - math.floor(position))).alias(f"q{span}")
+
+    return ranked.agg(*[interpolate(i, p) for i, p in enumerate(positions)])

@@ -32,6 +32,15 @@ def test_quantiles_with_one_value_holding_most_rows(spark):
     assert list(found) == pytest.approx(list(expected))
 
 
+@pytest.mark.parametrize("limit", [10, 1000, 100_000])
+def test_quantiles_narrow_down_to_few_values(spark, limit, monkeypatch):
+    monkeypatch.setattr(ordered, "FINE_ERROR", 0.01)
+    items = [5.0] * 9000 + [float(i * i % 9973) / 7 for i in range(15000)] + [-3.5, 1e9]
+    shares = [0.0, 0.001, 0.2, 0.25, 0.5, 0.75, 0.999, 1.0]
+    found = ordered.exact_quantiles(numbers(spark, items), "x", shares, limit=limit).first()
+    assert list(found) == pytest.approx(list(pd.Series(items).quantile(shares)))
+
+
 def test_quantiles_of_nothing_and_of_one(spark):
     assert list(ordered.exact_quantiles(numbers(spark, [None]), "x", [0.5]).first()) == [None]
     assert list(ordered.exact_quantiles(numbers(spark, [3.0]), "x", [0.25, 0.75]).first()) == [3.0, 3.0]
