@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.text import containment, sentences, tokens
+from larkspur.session import shared_folder
 
 PROMPT = """You look up criminal-law articles. Answer the question from the context alone.
 
@@ -24,12 +25,23 @@ Question:
 {question}
 """
 
+BROADCAST_HITS = 200_000
+
 NOTHING_FOUND = "No matching law was found. Please consult an expert."
 
 
-def with_texts(hits: DataFrame, texts: DataFrame, item_id: str = "doc_id") -> DataFrame:
-    """Add the text of every hit. Hits are few, so Spark sends them to the texts, not back."""
-    return hits.join(texts.select(item_id, "text"), item_id)
+def with_texts(
+    hits: DataFrame, texts: DataFrame, item_id: str = "doc_id", limit: int = BROADCAST_HITS
+) -> DataFrame:
+    """Add the text of every hit.
+
+    The hits are stored first. Up to ``limit`` of them go to wherever the texts are, which then
+    stay in place; more than that meet the texts in an ordinary join.
+    """
+    shared_folder(hits.sparkSession)
+    stored = hits.checkpoint()
+    few = stored.limit(limit + 1).count() <= limit
+    return texts.select(item_id, "text").join(F.broadcast(stored) if few else stored, item_id)
 
 
 def contexts(hits: DataFrame, item_id: str = "doc_id") -> DataFrame:

@@ -118,16 +118,19 @@ def equal_width_histogram(
     value = F.col(column).cast("double")
     span = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("s")).scalar()
     keys = ["bin"] + ([cohort] if cohort else [])
-    low, high = span["lo"], span["hi"]
-    binned = df.where(value.isNotNull()).select(
-        equal_width_bin(value, low, high, bins).alias("bin"), *keys[1:]
+    low, high = F.col("__span.lo"), F.col("__span.hi")
+    binned = (
+        df.where(value.isNotNull())
+        .withColumn("__span", span)
+        .select(equal_width_bin(value, low, high, bins).alias("bin"), *keys[1:])
     )
     counts = binned.groupBy(*keys).agg(F.count("*").alias("n"))
     start, width = equal_width_range(low, high, bins)
-    return _with_empty_bins(counts, bins, cohort, cohorts).select(
+    full = _with_empty_bins(counts, bins, cohort, cohorts).withColumn("__span", span)
+    return full.select("bin", start.alias("start"), width.alias("width"), *keys[1:], "n").select(
         "bin",
-        (start + F.col("bin") * width).alias("low"),
-        (start + (F.col("bin") + 1) * width).alias("high"),
+        (F.col("start") + F.col("bin") * F.col("width")).alias("low"),
+        (F.col("start") + (F.col("bin") + 1) * F.col("width")).alias("high"),
         *keys[1:],
         "n",
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,10 @@ B = 0.75
 FUSION_OFFSET = 60
 FUSION_DEPTH = 10
 
+# Size limits of one dense weight table.
+PIECE_TERMS = 8192
+PIECE_QUERIES = 512
+
 
 def embed(texts: DataFrame, encode: Callable[[pd.Series], pd.Series], text: str = "text") -> DataFrame:
     """Add ``embedding`` through a user-given batch function from texts to vectors."""
@@ -109,35 +113,53 @@ def query_weights(queries: DataFrame, corpus: DataFrame, idf: bool = True) -> Da
     )
 
 
+def _pieces(queries: pa.Table) -> Iterator[pa.Table]:
+    """Slices of the queries whose weight table, terms by queries, stays small."""
+    counts = pc.list_value_length(queries.column("terms")).to_pylist()
+    start, entries = 0, 0
+    for position, count in enumerate(counts):
+        full = entries + count > PIECE_TERMS or position - start >= PIECE_QUERIES
+        if full and position > start:
+            yield queries.slice(start, position - start)
+            start, entries = position, 0
+        entries += count
+    yield queries.slice(start)
+
+
+def _piece_scorer(queries: pa.Table, k1: float, b: float) -> Scorer:
+    terms = queries.column("terms").combine_chunks()
+    vocabulary = pc.unique(terms.flatten())
+    width = len(vocabulary)
+    term_index = pc.index_in(terms.flatten(), value_set=vocabulary).to_numpy(zero_copy_only=False)
+    owner = pc.list_parent_indices(terms).to_numpy()
+    weights = np.zeros((width, queries.num_rows))
+    weights[term_index, owner] = (
+        queries.column("weights").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    )
+    average = queries.column("avgdl")[0].as_py()
+
+    def score(items: pa.Table) -> np.ndarray:
+        words = items.column("words").combine_chunks()
+        lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+        found = pc.index_in(words.flatten(), value_set=vocabulary)
+        known = pc.is_valid(found).to_numpy(zero_copy_only=False)
+        rows = pc.list_parent_indices(words).to_numpy()[known]
+        cells = rows * width + pc.drop_null(found).to_numpy()
+        # Only cells that occur are weighted; the dense table is one slab of rows high.
+        hit, tf = np.unique(cells, return_counts=True)
+        limit = k1 * (1 - b + b * lengths[hit // width] / average)
+        dense = np.zeros(len(words) * width)
+        dense[hit] = tf * (k1 + 1) / (tf + limit)
+        scores = dense.reshape(len(words), width) @ weights
+        return np.where(scores > 0, scores, -np.inf)
+
+    return score
+
+
 def _bm25_scorer(k1: float, b: float) -> Callable[[pa.Table], Scorer]:
     def make(queries: pa.Table) -> Scorer:
-        terms = queries.column("terms").combine_chunks()
-        vocabulary = pc.unique(terms.flatten())
-        width = len(vocabulary)
-        term_index = pc.index_in(terms.flatten(), value_set=vocabulary).to_numpy(zero_copy_only=False)
-        owner = pc.list_parent_indices(terms).to_numpy()
-        weights = np.zeros((width, queries.num_rows))
-        weights[term_index, owner] = (
-            queries.column("weights").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        )
-        average = queries.column("avgdl")[0].as_py()
-
-        def score(items: pa.Table) -> np.ndarray:
-            words = items.column("words").combine_chunks()
-            lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-            found = pc.index_in(words.flatten(), value_set=vocabulary)
-            known = pc.is_valid(found).to_numpy(zero_copy_only=False)
-            rows = pc.list_parent_indices(words).to_numpy()[known]
-            cells = rows * width + pc.drop_null(found).to_numpy()
-            # Only cells that occur are weighted; the dense table is one slab of rows high.
-            hit, tf = np.unique(cells, return_counts=True)
-            limit = k1 * (1 - b + b * lengths[hit // width] / average)
-            dense = np.zeros(len(words) * width)
-            dense[hit] = tf * (k1 + 1) / (tf + limit)
-            scores = dense.reshape(len(words), width) @ weights
-            return np.where(scores > 0, scores, -np.inf)
-
-        return score
+        scorers = [_piece_scorer(piece, k1, b) for piece in _pieces(queries)]
+        return lambda items: np.hstack([score(items) for score in scorers])
 
     return make
 

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 Scorer = Callable[[pa.Table], np.ndarray]
 
 QUERY_LIMIT = 4096
-QUERY_BYTES = 64 * 1024 * 1024
-CORPUS_BLOCK = 200_000
+QUERY_BYTES = 16 * 1024 * 1024
+CORPUS_BLOCK = 20_000
 SLAB_ROWS = 1024
 
 

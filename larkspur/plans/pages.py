@@ -8,7 +8,7 @@ from larkspur.functions import markup
 from larkspur.operators import corpus
 from larkspur.plans import retrieval, scoring
 from larkspur.plans.registry import query
-from larkspur.session import fresh_folder
+from larkspur.session import fresh_folder, spread
 from larkspur.sources import collections, documents, schemas, tables
 from larkspur.sources.tables import table
 
@@ -70,7 +70,8 @@ def article_paragraphs(spark, folder):
 )
 def class_blocks(spark, folder):
     blocks = markup.class_blocks(F.col("html"), "ad", None)
-    return table(spark, folder, "pages").select("page_id", F.posexplode(blocks).alias("seq", "block"))
+    pages = spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
+    return pages.select("page_id", F.posexplode(blocks).alias("seq", "block"))
 
 
 FIRST_LINK_SQL = "nullif(regexp_extract(html, '<a\\b[^>]*\\shref=\"([^\"]*)\"', 1), '')"

@@ -59,4 +59,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     for. With as many files as cores nothing is moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+    return df.repartition(cores, key) if 0 < len(df.inputFiles()) < cores else df

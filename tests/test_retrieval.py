@@ -67,7 +67,9 @@ def bm25(asked, texts, k=3):
 
 
 @pytest.mark.parametrize("limits", [{}, {"query_limit": 2, "corpus_block": 10}])
-def test_bm25_equals_brute_force_either_way(spark, limits):
+@pytest.mark.parametrize("piece", [8192, 5])
+def test_bm25_equals_brute_force_either_way(spark, limits, piece, monkeypatch):
+    monkeypatch.setattr(retrieval, "PIECE_TERMS", piece)
     rng = random.Random(2)
     pool = [f"w{i}" for i in range(30)]
     texts = [(i, " ".join(rng.choices(pool, k=rng.randint(1, 40)))) for i in range(60)]
@@ -106,6 +108,23 @@ def test_rank_fusion(spark):
     assert fused == {1: [(11, round(1 / 62 + 1 / 61, 6)), (10, round(1 / 61, 6)), (12, round(1 / 62, 6))]}
 
 
+def test_queries_are_cut_by_terms_and_number(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(retrieval, "PIECE_TERMS", 4)
+    monkeypatch.setattr(retrieval, "PIECE_QUERIES", 2)
+    table = pa.table({"terms": [["a"] * n for n in (9, 1, 1, 1, 3, 2)]})
+    assert [p.num_rows for p in retrieval._pieces(table)] == [1, 2, 2, 1]
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_texts_join_either_way(spark, limit, collect):
+    found = spark.createDataFrame([(1, 7, 0.5, 1)], "query_id long, doc_id long, score double, rank int")
+    texts = spark.createDataFrame([(7, "x"), (8, "y")], TEXTS)
+    joined = answering.with_texts(found, texts, limit=limit).select("query_id", "doc_id", "text")
+    assert collect(joined) == [(1, 7, "x")]
+
+
 def test_embedding_hook(spark):
     texts = spark.createDataFrame([(1, "ab"), (2, "abcd")], TEXTS)
     embedded = retrieval.embed(texts, lambda batch: batch.map(lambda t: [float(len(t)), 1.0]))
