@@ -113,12 +113,12 @@ def query_weights(queries: DataFrame, corpus: DataFrame, idf: bool = True) -> Da
     )
 
 
-def _pieces(queries: pa.Table) -> Iterator[pa.Table]:
+def _pieces(queries: pa.Table, most_terms: int, most_queries: int) -> Iterator[pa.Table]:
     """Slices of the queries whose weight table, terms by queries, stays small."""
     counts = pc.list_value_length(queries.column("terms")).to_pylist()
     start, entries = 0, 0
     for position, count in enumerate(counts):
-        full = entries + count > PIECE_TERMS or position - start >= PIECE_QUERIES
+        full = entries + count > most_terms or position - start >= most_queries
         if full and position > start:
             yield queries.slice(start, position - start)
             start, entries = position, 0
@@ -156,9 +156,12 @@ def _piece_scorer(queries: pa.Table, k1: float, b: float) -> Scorer:
     return score
 
 
-def _bm25_scorer(k1: float, b: float) -> Callable[[pa.Table], Scorer]:
+def _bm25_scorer(
+    k1: float, b: float, most_terms: int, most_queries: int
+) -> Callable[[pa.Table], Scorer]:
     def make(queries: pa.Table) -> Scorer:
-        scorers = [_piece_scorer(piece, k1, b) for piece in _pieces(queries)]
+        pieces = _pieces(queries, most_terms, most_queries)
+        scorers = [_piece_scorer(piece, k1, b) for piece in pieces]
         return lambda items: np.hstack([score(items) for score in scorers])
 
     return make
@@ -182,7 +185,8 @@ def bm25_topk(
     texts = spread(corpus.select(item_id, "text"), item_id)
     corpus = texts.select(item_id, tokens(F.col("text")).alias("words"))
     weighted = query_weights(queries, corpus, idf)
-    return topk_join(weighted, corpus, _bm25_scorer(k1, b), k, item_id, **limits)
+    scorer = _bm25_scorer(k1, b, PIECE_TERMS, PIECE_QUERIES)
+    return topk_join(weighted, corpus, scorer, k, item_id, **limits)
 
 
 def fuse_ranks(

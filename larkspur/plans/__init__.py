@@ -11,10 +11,15 @@ from larkspur.plans import (  # noqa: F401
     scoring,
 )
 from larkspur.plans.registry import ORACLES, QUERIES
+from larkspur.session import ship_package
+
+
+def _runnable(query):
+    return lambda spark, folder: query(ship_package(spark), folder)
 
 
 def all_queries():
-    return dict(QUERIES)
+    return {name: _runnable(query) for name, query in QUERIES.items()}
 
 
 def all_oracles():

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,29 @@ def local_session(app: str = "larkspur", cores: str = "*", **conf: str) -> Spark
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package, wherever the driver was started from.
+
+    Spark hands the archive to every executor, as it does with ``--py-files``.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="larkspur-"), "larkspur.zip")
+        with zipfile.ZipFile(archive, "w") as target:
+            for folder, _, files in os.walk(package):
+                for name in sorted(files):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        target.write(path, os.path.relpath(path, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(application)
     return spark
 
 

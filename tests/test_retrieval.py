@@ -108,13 +108,11 @@ def test_rank_fusion(spark):
     assert fused == {1: [(11, round(1 / 62 + 1 / 61, 6)), (10, round(1 / 61, 6)), (12, round(1 / 62, 6))]}
 
 
-def test_queries_are_cut_by_terms_and_number(monkeypatch):
+def test_queries_are_cut_by_terms_and_number():
     import pyarrow as pa
 
-    monkeypatch.setattr(retrieval, "PIECE_TERMS", 4)
-    monkeypatch.setattr(retrieval, "PIECE_QUERIES", 2)
     table = pa.table({"terms": [["a"] * n for n in (9, 1, 1, 1, 3, 2)]})
-    assert [p.num_rows for p in retrieval._pieces(table)] == [1, 2, 2, 1]
+    assert [p.num_rows for p in retrieval._pieces(table, 4, 2)] == [1, 2, 2, 1]
 
 
 @pytest.mark.parametrize("limit", [0, 10])
