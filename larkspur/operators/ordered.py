@@ -39,7 +39,8 @@ def with_ranges(df: DataFrame, key: str) -> DataFrame:
     """
     parts = _range_count(df)
     shares = [i / parts for i in range(1, parts)]
-    bounds = sorted(set(df.stat.approxQuantile(key, shares, 0.2 / parts)))
+    found = df.agg(F.percentile_approx(key, shares, 5 * parts)).first()[0]
+    bounds = sorted(set(found or []))
     if not bounds:
         return df.withColumn(RANGE, F.lit(0.0))
     splits = [float("-inf"), *bounds, float("inf")]

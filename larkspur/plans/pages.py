@@ -54,10 +54,9 @@ def marked_region(spark, folder):
            unnest(list_transform(blocks, lambda b: {TEXT_OF.format('b')})) AS paragraph FROM p""",
 )
 def article_paragraphs(spark, folder):
-    blocks = table(spark, folder, "pages").select(
-        "page_id", F.posexplode(markup.flat_blocks(_article(), "p")).alias("seq", "block")
-    )
-    return blocks.select("page_id", "seq", markup.inner_text(F.col("block")).alias("paragraph"))
+    each = F.posexplode_outer(markup.flat_blocks(_article(), "p")).alias("seq", "block")
+    blocks = table(spark, folder, "pages").select("page_id", each)
+    return blocks.where(F.col("seq").isNotNull()).select("page_id", "seq", markup.inner_text(F.col("block")).alias("paragraph"))
 
 
 @query(
@@ -71,7 +70,8 @@ def article_paragraphs(spark, folder):
 def class_blocks(spark, folder):
     blocks = markup.class_blocks(F.col("html"), "ad", None)
     pages = spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
-    return pages.select("page_id", F.posexplode(blocks).alias("seq", "block"))
+    each = pages.select("page_id", F.posexplode_outer(blocks).alias("seq", "block"))
+    return each.where(F.col("seq").isNotNull())
 
 
 FIRST_LINK_SQL = "nullif(regexp_extract(html, '<a\\b[^>]*\\shref=\"([^\"]*)\"', 1), '')"
