@@ -155,29 +155,43 @@ def context_recall(spark, folder):
     return scored.withColumn("context_recall", F.round("context_recall", 6))
 
 
-@query(
-    "evaluation_scores",
+SCORES_SQL = (
     ROWS_SQL
     + VERDICT_SQL
     + RECALL_SQL
     + FAITH_SQL
     + ", full_rows AS (SELECT * FROM rows WHERE n > 0)"
     + _terms_sql("full_rows", "query_id", "user_input", "response")
-    + """SELECT query_id, round(coalesce(faithfulness, 0), 6) AS faithfulness,
-        round(coalesce(context_recall, 0), 6) AS context_recall,
-        round(coalesce(answer_relevancy, 0), 6) AS answer_relevancy,
-        round(coalesce(context_precision, 0), 6) AS context_precision, n IS NULL AS error
+    + """, scores AS (SELECT query_id, coalesce(faithfulness, 0) AS faithfulness,
+        coalesce(context_recall, 0) AS context_recall,
+        coalesce(answer_relevancy, 0) AS answer_relevancy,
+        coalesce(context_precision, 0) AS context_precision, n IS NULL AS error
     FROM rows LEFT JOIN faithfulness USING (query_id) LEFT JOIN context_recall USING (query_id)
-    LEFT JOIN relevancy USING (query_id) LEFT JOIN precisions USING (query_id)""",
+    LEFT JOIN relevancy USING (query_id) LEFT JOIN precisions USING (query_id))"""
+)
+
+
+@query(
+    "evaluation_scores",
+    SCORES_SQL
+    + "SELECT query_id, "
+    + ", ".join(f"round({name}, 6) AS {name}" for name in judging.SCORES)
+    + ", error FROM scores",
 )
 def evaluation_scores(spark, folder):
     scores = judging.evaluate(_stored_rows(spark, folder))
     return scores.withColumns({name: F.round(name, 6) for name in judging.SCORES})
 
 
-@query("evaluation_means")
+@query(
+    "evaluation_means",
+    SCORES_SQL
+    + "SELECT "
+    + ", ".join(f"round(avg({name}), 6) AS {name}" for name in judging.SCORES)
+    + ', count(*) AS "rows", count(*) FILTER (error) AS errors FROM scores',
+)
 def evaluation_means(spark, folder):
-    """Overall means; the rows behind them are checked by ``evaluation_scores``."""
+    """Overall means, with the number of rows and of errors."""
     means = judging.mean_scores(judging.evaluate(_stored_rows(spark, folder)))
     return means.withColumns({name: F.round(name, 6) for name in judging.SCORES})
 
@@ -247,7 +261,11 @@ def vector_relevancy(spark, folder):
     return scored.withColumn("answer_relevancy", F.round("answer_relevancy", 6))
 
 
-@query("judged_rows")
+@query(
+    "judged_rows",
+    CONVERSATION_SQL
+    + """SELECT conv_id, turn, CAST(length(answer) > length(question) AS INTEGER) AS verdict FROM pairs""",
+)
 def judged_rows(spark, folder):
     """The judge hook: verdicts from a batch function instead of the lexical rule."""
     rows = _conversation_rows(spark, folder).select(*CONVERSATION_KEYS, "user_input", "response")

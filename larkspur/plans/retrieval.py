@@ -300,12 +300,15 @@ def prompt_sql(context: str, question: str) -> str:
     return "'" + joined.replace("{question}", f"' || {question} || '") + "'"
 
 
-@query(
-    "prompts",
+PROMPTS_SQL = (
     ANSWER_SQL
-    + f"""SELECT b.item_id AS query_id, {prompt_sql("coalesce(context, '')", "b.text")} AS prompt
-    FROM benchmark b LEFT JOIN contexts ON b.item_id = query_id""",
+    + f""", prompts AS (SELECT b.item_id AS query_id,
+        {prompt_sql("coalesce(context, '')", "b.text")} AS prompt
+        FROM benchmark b LEFT JOIN contexts ON b.item_id = query_id)"""
 )
+
+
+@query("prompts", PROMPTS_SQL + "SELECT * FROM prompts")
 def prompts(spark, folder):
     found = answering.contexts(hits(spark, folder))
     asked = answering.attach_contexts(_questions(spark, folder), found)
@@ -336,7 +339,10 @@ def answers_with_sources(spark, folder):
     return answered.select("query_id", sources.alias("sources"), "response")
 
 
-@query("answers_through_function")
+@query(
+    "answers_through_function",
+    PROMPTS_SQL + "SELECT query_id, length(prompt) || ' characters read' AS response FROM prompts",
+)
 def answers_through_function(spark, folder):
     """The answer hook with a batch function in place of a hosted model."""
     found = answering.contexts(hits(spark, folder))
