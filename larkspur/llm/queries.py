@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, language, packing
-from larkspur.llm.common import table
+from larkspur.llm import chat, language, mixing, packing, quality
+from larkspur.llm.common import stored, table
 from larkspur.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,40 @@ def pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), vocabulary_path(), finish=_piece_digests, schema=schema)
 
 
-@query("op5_format_chat")
+@query(
+    "op4_mix_sources",
+    """WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+    rates AS (SELECT source, (1.0 / (SELECT count(*) FROM counts)) * (SELECT sum(n) FROM counts) / n AS rate FROM counts),
+    steps AS (
+      SELECT source, list(p ORDER BY j) AS steps FROM (
+        SELECT source, j, sum(exp(-rate + j * ln(rate) - lgamma(j + 1))) OVER (PARTITION BY source ORDER BY j) AS p
+        FROM rates, (SELECT unnest(generate_series(0, 150)) AS j))
+      GROUP BY source),
+    drawn AS (
+      SELECT d.*, steps, (('0x' || substr(md5('42' || chr(31) || CAST(doc_id AS VARCHAR)), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
+      FROM documents d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source),
+    counted AS (SELECT *, len(list_filter(steps, lambda p: p <= u)) AS n FROM drawn)
+    SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy
+    FROM counted, LATERAL (SELECT unnest(generate_series(1, n)) AS copy)""",
+)
+def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, folder, "documents"))
+
+
+@query(
+    "op5_format_chat",
+    r"""WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) t(i)),
+    escaped AS (
+      SELECT *, length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')) + length(role) + 24 AS chars
+      FROM turns)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(sum(chars) AS BIGINT) AS formatted_chars
+    FROM escaped GROUP BY conv_id""",
+)
 def format_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
@@ -71,3 +104,11 @@ def identify_language(spark: SparkSession, folder: str) -> DataFrame:
     learned = language.learn_dictionaries(docs.where(~language.held_out()))
     found = language.identify(docs, learned)
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "margin_bytes", "accepted")
+
+
+@query("op3_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    statistics = stored(quality.word_statistics(table(spark, folder, "documents")), "statistics")
+    rules = quality.learn_rules(statistics, table(spark, folder, "labels"))
+    counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality.judge(statistics, rules).select(*counts, "base_failed", "kept", "rule")
