@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, language, mixing, packing, quality
+from larkspur.llm import chat, language, mixing, nearest, packing, pages, quality
 from larkspur.llm.common import stored, table
 from larkspur.session import ship_package
 
@@ -35,6 +35,11 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_extract_pages")
+def extract_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract_pages(table(spark, folder, "pages"))
+
+
 def _piece_digests(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The columns of ``op2_pack_sequences``: each piece's CRC in place of its ids."""
     ids = batch.column(3)
@@ -112,3 +117,19 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = quality.learn_rules(statistics, table(spark, folder, "labels"))
     counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality.judge(statistics, rules).select(*counts, "base_failed", "kept", "rule")
+
+
+@query(
+    "op9_nearest",
+    """WITH points AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    scored AS (
+      SELECT q.vec_id AS query_id, p.vec_id, CAST(list_dot_product(q.v, p.v) AS BIGINT) AS score
+      FROM points q JOIN points p ON q.vec_id % 50 = 0 AND p.vec_id <> q.vec_id)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5""",
+)
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return nearest.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
