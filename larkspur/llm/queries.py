@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, language, mixing, nearest, packing, pages, quality
+from larkspur.llm import chat, language, mixing, nearest, packing, pages, private, quality
 from larkspur.llm.common import stored, table
 from larkspur.session import ship_package
 
@@ -119,6 +119,12 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(statistics, rules).select(*counts, "base_failed", "kept", "rule")
 
 
+@query("op8_private_data")
+def private_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return private.digests(private.find_private(docs, private.learn(docs)))
+
+
 @query(
     "op9_nearest",
     """WITH points AS (
