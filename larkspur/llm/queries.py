@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, language, mixing, nearest, packing, pages, private, quality
+from larkspur.llm import chat, jaccard, language, mixing, nearest, packing, pages, private, quality
 from larkspur.llm.common import stored, table
 from larkspur.session import ship_package
 
@@ -103,6 +103,11 @@ def format_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns.unionByName(extra)))
 
 
+@query("op6_jaccard_join")
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, folder, "documents"), width=3, threshold=(90, 100))
+
+
 @query("op7_language")
 def identify_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
