@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, jaccard, language, mixing, nearest, packing, pages, private, quality
+from larkspur.llm import chat, jaccard, language, mixing, nearest, packing, pages, private, quality, repeats
 from larkspur.llm.common import stored, table
 from larkspur.session import ship_package
 
@@ -144,3 +144,9 @@ def private_data(spark: SparkSession, folder: str) -> DataFrame:
 def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return nearest.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+@query("op10_repeated_strings")
+def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
