@@ -24,7 +24,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import checkpointed, slices, stored
@@ -192,8 +192,8 @@ def _described(width: int, part: int, whole: int) -> Callable[[Iterable[pa.Recor
                 parts.append(signatures(s, sizes) if fresh else np.zeros(0, np.int64))
             bounds = np.concatenate((np.zeros(1, np.int32), np.cumsum([len(p) for p in parts]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(parts), pa.int64()))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.int64()), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest", "signatures"])
+            columns = [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(digests, pa.int64()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_shingles", "digest", "signatures"])
 
     return run
 
@@ -360,9 +360,17 @@ def jaccard_classes(
     with an equal set, if any has an id.
     Other columns are not read; no rows give no rows. Shingles are compared by 64-bit hashes.
     """
+    rows = _classified(docs, doc_id, text, width, threshold, cell_shingles, cell_sets)
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
+def _classified(docs: DataFrame, doc_id: str, text: str, width: int, threshold: tuple[int, int], cell_shingles: int, cell_sets: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, label (of the component; NULL without words) and component_id."""
     part, whole = threshold
-    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    described = stored(chosen.mapInArrow(_described(width, part, whole), "doc_id long, n_shingles long, digest long, signatures array<long>"), "sets")
+    chosen = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    hashed = chosen.select("doc_id", "text", _text_hash("text").alias("text_hash"))
+    schema = "doc_id long, text_hash long, n_shingles long, digest long, signatures array<long>"
+    described = stored(hashed.mapInArrow(_described(width, part, whole), schema), "sets")
     kinds = described.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
 
     # Families: a set is tied to the smallest one with the same signature.
@@ -377,9 +385,44 @@ def jaccard_classes(
 
     classes = kinds.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "first", F.coalesce("label", "digest").alias("label"))
     lowest = classes.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = classes.join(lowest, "label").select("digest", "component_id")
-    rows = described.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = classes.join(lowest, "label").select("digest", "label", "component_id")
+    rows = described.select("doc_id", "text_hash", "n_shingles", "digest").join(named, "digest", "left")
+    return rows.select("doc_id", "text_hash", "n_shingles", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+
+
+def keep_one_of_each(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    threshold: tuple[int, int] = (80, 100),
+    cell_shingles: int = CELL_SHINGLES,
+    cell_sets: int = CELL_SETS,
+) -> DataFrame:
+    """One row of ``docs`` for each class, with all its columns: the one with the smallest id.
+
+    Rows without words are nobody's copies and all stay. A class whose rows have no id keeps one of them;
+    of rows with equal ids the one with the smallest hash of its text; of repeated rows one.
+    """
+    spread = stored(_classified(docs, doc_id, text, width, threshold, cell_shingles, cell_sets), "classes").where("label IS NOT NULL")
+    key = F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "text_hash")
+    first = spread.groupBy("label").agg(F.min(key).alias("first"))
+    judged = spread.join(first, "label").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), (key == F.col("first")).alias("stays"))
+    gone = judged.where("NOT stays").select("__id", "__hash").distinct()
+    again = checkpointed(judged.where("stays").groupBy("__id", "__hash").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("__id")) & (_text_hash(text) == F.col("__hash"))
+    kept = docs.join(gone, same, "left_anti")
+    if again.isEmpty():
+        return kept
+    repeated = kept.join(again, same, "left_semi").withColumn("__hash", _text_hash(text)).dropDuplicates([doc_id, "__hash"]).drop("__hash")
+    return kept.join(again, same, "left_anti").unionByName(repeated)
 
 
 def _links(chosen: DataFrame, member: DataFrame, width: int, sizes: Sizes, cell_shingles: int, cell_sets: int) -> DataFrame:

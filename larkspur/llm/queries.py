@@ -113,7 +113,7 @@ def identify_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     learned = language.learn_dictionaries(docs.where(~language.held_out()))
     found = language.identify(docs, learned)
-    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "margin_bytes", "accepted")
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "margin", "accepted")
 
 
 @query("op3_quality_rules")
