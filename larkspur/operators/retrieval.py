@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import each_token, token_set, tokens
-from larkspur.operators.topk import Scorer, rank_hits, topk_join
+from larkspur.operators.topk import Scorer, exact_ranks, rank_hits, topk_join
 from larkspur.session import shared_folder, spread
 
 # Number of retrieved chunks; usual BM25 and rank-fusion parameters.
@@ -20,7 +20,6 @@ TOP_K = 3
 K1 = 1.2
 B = 0.75
 FUSION_OFFSET = 60
-FUSION_DEPTH = 10
 
 # Size limits of one dense weight table.
 PIECE_TERMS = 8192
@@ -182,11 +181,15 @@ def bm25_topk(
     ``queries`` carry ``query_id, text`` and the corpus ``<item_id>, text``. Whole texts are
     tokenised; a text without any query term is no hit.
     """
+    weighted, words, scorer = _bm25(queries, corpus, item_id, k1, b, idf)
+    return topk_join(weighted, words, scorer, k, item_id, **limits)
+
+
+def _bm25(queries: DataFrame, corpus: DataFrame, item_id: str, k1: float = K1, b: float = B, idf: bool = True):
+    """Weighted queries, tokenised corpus and scorer."""
     texts = spread(corpus.select(item_id, "text"), item_id)
-    corpus = texts.select(item_id, tokens(F.col("text")).alias("words"))
-    weighted = query_weights(queries, corpus, idf)
-    scorer = _bm25_scorer(k1, b, PIECE_TERMS, PIECE_QUERIES)
-    return topk_join(weighted, corpus, scorer, k, item_id, **limits)
+    words = texts.select(item_id, tokens(F.col("text")).alias("words"))
+    return query_weights(queries, words, idf), words, _bm25_scorer(k1, b, PIECE_TERMS, PIECE_QUERIES)
 
 
 def fuse_ranks(
@@ -211,12 +214,22 @@ def hybrid_topk(
     corpus: DataFrame,
     k: int = TOP_K,
     item_id: str = "doc_id",
-    depth: int = FUSION_DEPTH,
+    offset: int = FUSION_OFFSET,
+    **limits,
 ) -> DataFrame:
-    """Dense and sparse hits of the same chunks fused by rank.
+    """Dense and sparse hits of the same chunks fused by their ranks in the whole lists.
 
-    Both sides carry ``text`` and ``embedding``; rows without an embedding still match by text.
+    Both sides carry ``text`` and ``embedding``; rows without an embedding still match by text. An item
+    beyond rank ``offset + 2 k`` in both lists has less than the k-th item of either list alone, so the
+    heads of that depth hold all k results. Their ranks in the other list are then counted exactly.
     """
-    dense = cosine_topk(queries, corpus, depth, item_id)
-    sparse = bm25_topk(queries, corpus, depth, item_id)
-    return fuse_ranks(dense, sparse, k, item_id)
+    depth = offset + 2 * k
+    vectors = [side.select(key, "embedding").where(F.col("embedding").isNotNull()) for side, key in ((queries, "query_id"), (corpus, item_id))]
+    weighted, words, scorer = _bm25(queries, corpus, item_id)
+    weighted = weighted.checkpoint()
+    keys = ["query_id", item_id]
+    dense = topk_join(*vectors, _cosine_scorer, depth, item_id, **limits).select(*keys, "rank").checkpoint()
+    sparse = topk_join(weighted, words, scorer, depth, item_id, **limits).select(*keys, "rank").checkpoint()
+    found_dense = exact_ranks(*vectors, _cosine_scorer, sparse.join(dense, keys, "left_anti"), item_id, **limits)
+    found_sparse = exact_ranks(weighted, words, scorer, dense.join(sparse, keys, "left_anti"), item_id, **limits)
+    return fuse_ranks(dense.unionByName(found_dense), sparse.unionByName(found_sparse), k, item_id, offset)

@@ -235,8 +235,8 @@ HYBRID_SQL = (
         SELECT coalesce(d.query_id, s.query_id) AS query_id, coalesce(vec_id, doc_id) AS doc_id,
                CAST(d.rank AS INTEGER) AS left_rank, CAST(s.rank AS INTEGER) AS right_rank,
                round(coalesce(1.0 / (60 + d.rank), 0) + coalesce(1.0 / (60 + s.rank), 0), 6) AS score
-        FROM (SELECT * FROM dense_ranked WHERE rank <= 10) d
-        FULL OUTER JOIN (SELECT * FROM ranked WHERE rank <= 10) s
+        FROM dense_ranked d
+        FULL OUTER JOIN ranked s
         ON d.query_id = s.query_id AND vec_id = doc_id
     ), numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)
         AS INTEGER) AS rank FROM fused)

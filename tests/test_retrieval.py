@@ -91,7 +91,7 @@ def test_no_queries_give_no_hits(spark):
 def test_running_best_across_batches():
     import numpy as np
 
-    best = topk._Best(1, 2, 6)
+    best = topk._Best(1, 2)
     best.add(np.array([9, 4]), np.array([[0.5], [0.5]]))
     best.add(np.array([1]), np.array([[-np.inf]]))
     best.add(np.array([3]), np.array([[0.5]]))
