@@ -103,10 +103,10 @@ def random_forest(
     **params,
 ) -> Estimator:
     """Random forest of full trees; a split needs two rows, as one row per leaf implies."""
+    if depth > MAX_DEPTH:
+        raise ValueError(f"spark.ml grows trees to depth {MAX_DEPTH} at most, not {depth}")
     settings = {"minInstancesPerNode": 1, "seed": SEED, **params}
-    estimator = RandomForestClassifier(
-        labelCol=label, numTrees=trees, maxDepth=min(depth, MAX_DEPTH), **settings
-    )
+    estimator = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, **settings)
     return estimator if weight is None else estimator.setWeightCol(weight)
 
 

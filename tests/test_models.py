@@ -65,7 +65,8 @@ def test_reported_settings_are_the_defaults():
     assert (deep.getMaxIter(), deep.getMaxDepth(), deep.getStepSize()) == (120, 8, 0.01)
     assert deep.getFeatureSubsetStrategy() == "0.8"
     assert (shallow.getMaxIter(), shallow.getMaxDepth()) == (700, 4)
-    assert models.random_forest(depth=40).getMaxDepth() == 30
+    with pytest.raises(ValueError):
+        models.random_forest(depth=40)
     assert models.neural_network(9).getLayers() == [9, 64, 32, 2]
 
 
