@@ -57,10 +57,13 @@ def ship_package(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) is a local folder made.
+    Only a local session without that setting (tests, a laptop) gets a local folder; on a cluster its
+    absence is an error, as executors would write to their own disks.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="larkspur-")
         spark.conf.set(CHECKPOINT_SETTING, folder)
     if spark.sparkContext.getCheckpointDir() is None:

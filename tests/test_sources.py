@@ -45,6 +45,8 @@ def test_document_folder_is_validated(spark, tmp_path, collect):
     write(tmp_path, "flat", json.dumps({**good, "contents": "제1조"}))
     write(tmp_path, "missing", json.dumps({"title": "t", "contents": []}))
     write(tmp_path, "broken", '{"title": ')
+    for name, rest in (("rest", " x"), ("second", json.dumps(good)), ("bracket", "] ["), ("comma", "," + json.dumps(good))):
+        write(tmp_path, name, json.dumps(good) + rest)
     (tmp_path / "other.txt").write_text("x")
     loose = documents.read_documents(spark, str(tmp_path), strict=False)
     assert collect(loose.select("file_name", "title", "contents")) == [
@@ -52,10 +54,14 @@ def test_document_folder_is_validated(spark, tmp_path, collect):
         ("형법 1+a%20", "형법", ["제1조", "제2조"]),
     ]
     assert collect(documents.rejected_documents(spark, str(tmp_path))) == [
+        ("bracket", "broken"),
         ("broken", "broken"),
+        ("comma", "broken"),
         ("flat", "contents wrong type"),
         ("missing", "url missing"),
         ("number", "title wrong type"),
+        ("rest", "broken"),
+        ("second", "broken"),
     ]
     with pytest.raises(Exception):
         documents.read_documents(spark, str(tmp_path)).collect()
@@ -69,8 +75,17 @@ def test_latest_per_key_and_json_sink(spark, tmp_path, collect):
     latest = documents.latest_per_key(df, "title", "page_id")
     assert sorted(r["page_id"] for r in latest.collect()) == [2, 3]
     documents.write_documents(latest, str(tmp_path / "d"))
+    more = spark.createDataFrame([("b", ["z"], "u4"), ("c", [], "u5")], "title string, contents array<string>, url string")
+    documents.write_documents(more, str(tmp_path / "d"))
+    read = documents.read_documents(spark, str(tmp_path / "d"))
+    assert collect(read.select("title", "contents", "url")) == [("a", ["y"], "u3"), ("b", ["z"], "u4"), ("c", [], "u5")]
+    documents.write_documents(latest, str(tmp_path / "d"))
+    documents.write_documents(spark.createDataFrame([(None, ["n"], "u6")], more.schema), str(tmp_path / "d"))
+    documents.write_documents(spark.createDataFrame([(None, ["n"], "u7")], more.schema), str(tmp_path / "d"))
+    nulls = df.select(F.lit(None).cast("string").alias("title"), "page_id")
+    assert documents.latest_per_key(nulls, "title", "page_id").count() == 3
     back = spark.read.schema("title string, contents array<string>, url string").json(str(tmp_path / "d"))
-    assert collect(back) == [("a", ["y"], "u3"), ("b", [], "u2")]
+    assert sorted(r["url"] for r in back.collect()) == ["u2", "u3", "u5", "u6", "u7"]
 
 
 def law(spark):
