@@ -47,18 +47,22 @@ def context_verdicts(
     return each.select(*keys, (F.col("rank") + 1).alias("rank"), (share >= support).cast("int").alias("verdict"))
 
 
-def context_precision(verdicts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def context_precision(verdicts: DataFrame, keys: Sequence[str] = KEYS, rows: DataFrame | None = None) -> DataFrame:
     """Mean precision at the ranks of supporting contexts; 0 if none supports.
 
-    A window holds one row's contexts only, as many as were retrieved.
+    A window holds one row's contexts only, as many as were retrieved. ``rows`` that have no context at
+    all have 0 too; without them only keys with a verdict are scored.
     """
     so_far = Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     at_rank = F.avg("verdict").over(so_far)
-    return (
+    scored = (
         verdicts.withColumn("__p", at_rank * F.col("verdict"))
         .groupBy(*keys)
         .agg(ratio_or_zero(F.sum("__p"), F.sum("verdict")).alias("context_precision"))
     )
+    if rows is None:
+        return scored
+    return rows.select(*keys).join(scored, list(keys), "left").fillna(0.0, ["context_precision"])
 
 
 def supported_share(
@@ -174,7 +178,7 @@ def evaluate(rows: DataFrame, support: float = SUPPORT, keys: Sequence[str] = KE
         faithfulness(complete, support, keys),
         context_recall(complete, support, keys),
         answer_relevancy(complete, keys=keys),
-        context_precision(context_verdicts(complete, support, keys), keys),
+        context_precision(context_verdicts(complete, support, keys), keys, complete),
         keys=keys,
     )
 

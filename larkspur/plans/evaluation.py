@@ -17,8 +17,6 @@ from larkspur.plans.retrieval import ITEM_SQL, TEXT_SQL, bm25_sql, sentences_sql
 from larkspur.session import shared_folder
 from larkspur.sources.tables import table
 
-MINIMUM_SCORE = 12.0
-
 
 def _split_items(spark, folder):
     listed = sentences(F.col("text"))
@@ -36,7 +34,7 @@ def benchmark_rows(spark, folder):
     items = _split_items(spark, folder)
     docs = table(spark, folder, "documents")
     asked = items.select("query_id", F.col("question").alias("text"))
-    hits = answering.drop_weak_hits(retrieval.bm25_topk(asked, docs), MINIMUM_SCORE)
+    hits = retrieval.bm25_topk(asked, docs)
     found = answering.contexts(answering.with_texts(hits, docs))
     answered = answering.add_extractive_answer(
         answering.attach_contexts(items.select("query_id", "question"), found)
@@ -60,7 +58,7 @@ ROWS_SQL = (
     + ","
     + bm25_sql("SELECT query_id, question AS text FROM items", TEXT_SQL, "doc_id")
     + f""", hits AS (SELECT ranked.*, text FROM ranked JOIN documents USING (doc_id)
-        WHERE rank <= 3 AND score >= {MINIMUM_SCORE}),
+        WHERE rank <= 3),
     pieces AS (SELECT query_id, rank, {sentences_sql('text')} AS s FROM hits),
     listed AS (SELECT query_id, rank, unnest(s) AS sentence, unnest(range(len(s))) AS place FROM pieces),
     shares AS (SELECT l.query_id, sentence, rank, place,
@@ -135,11 +133,12 @@ def context_verdicts(spark, folder):
     "context_precision",
     ROWS_SQL
     + VERDICT_SQL
-    + "SELECT query_id, round(context_precision, 6) AS context_precision FROM precisions",
+    + """SELECT query_id, round(coalesce(context_precision, 0), 6) AS context_precision
+    FROM rows LEFT JOIN precisions USING (query_id)""",
 )
 def context_precision(spark, folder):
-    verdicts = judging.context_verdicts(benchmark_rows(spark, folder))
-    scored = judging.context_precision(verdicts)
+    rows = _stored_rows(spark, folder)
+    scored = judging.context_precision(judging.context_verdicts(rows), rows=rows)
     return scored.withColumn("context_precision", F.round("context_precision", 6))
 
 
