@@ -82,8 +82,25 @@ class _BlockReader(HTMLParser):
         self.open_tags: list[str] = []
         self.open_blocks: list[dict] = []
         self.blocks: list[dict] = []
+        self.node: list[str] = []
+
+    def end_node(self):
+        """What lies between two tags or comments is one node; only its ends are stripped."""
+        text = "".join(self.node).strip()
+        self.node = []
+        if text and not (self.open_tags and self.open_tags[-1] in ("script", "style")):
+            for block in self.open_blocks:
+                block["text"].append(text)
+
+    def close(self):
+        super().close()
+        self.end_node()
+
+    def handle_comment(self, data):
+        self.end_node()
 
     def handle_starttag(self, tag, attrs):
+        self.end_node()
         classes = (dict(attrs).get("class") or "").split()
         if self.child_class in classes and tag == self.tag:
             for block in self.open_blocks:
@@ -97,6 +114,7 @@ class _BlockReader(HTMLParser):
             self.blocks.append(block)
 
     def handle_endtag(self, tag):
+        self.end_node()
         if tag not in self.open_tags:
             return
         while self.open_tags.pop() != tag:
@@ -105,10 +123,7 @@ class _BlockReader(HTMLParser):
         self.open_blocks = [b for b in self.open_blocks if b["depth"] <= depth]
 
     def handle_data(self, data):
-        text = data.strip()
-        if text and not (self.open_tags and self.open_tags[-1] in ("script", "style")):
-            for block in self.open_blocks:
-                block["text"].append(text)
+        self.node.append(data)
 
 
 def _read_blocks(html: str | None, tag: str, block_class: str, child_class: str | None):

@@ -72,7 +72,8 @@ def term_statistics(corpus: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, df, length`` for the wanted ``terms`` and, under the empty term, the whole corpus.
 
     No token is empty, so that row counts all texts (``df``) and all tokens (``length``): document
-    frequencies and corpus size come from one pass over the texts.
+    frequencies and corpus size come from one pass over the texts. Occurrences are counted where they
+    are before anything is joined, so a frequent term is a row per task, not one per text.
     """
     spark = corpus.sparkSession
     whole = spark.range(1).select(F.lit("").alias("term"))
@@ -80,11 +81,8 @@ def term_statistics(corpus: DataFrame, terms: DataFrame) -> DataFrame:
     marked = F.array_append(F.array_distinct("words"), "")
     occurrences = corpus.select(F.size("words").alias("dl"), F.explode(marked).alias("term"))
     own_length = F.when(F.col("term") == "", F.col("dl")).otherwise(0)
-    return (
-        occurrences.join(wanted, "term")
-        .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum(own_length).alias("length"))
-    )
+    counted = occurrences.groupBy("term").agg(F.count("*").alias("df"), F.sum(own_length).alias("length"))
+    return counted.join(wanted, "term")
 
 
 def query_weights(queries: DataFrame, corpus: DataFrame, idf: bool = True) -> DataFrame:

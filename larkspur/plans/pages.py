@@ -74,6 +74,32 @@ def class_blocks(spark, folder):
     return each.where(F.col("seq").isNotNull())
 
 
+HEAD_SQL = "regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1)"
+
+
+@query(
+    "class_blocks_with_child",
+    f"""SELECT page_id, trim(replace(replace(replace(replace(replace({HEAD_SQL},
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&')) || '-' AS block
+    FROM pages WHERE regexp_matches(html, '<h1[^>]*>[^<]*</h1>')""",
+)
+def class_blocks_with_child(spark, folder):
+    """Each page's headline once in a block that holds the child class and once in one that doesn't."""
+    cards = '<div class="card x">\n<div class="words"> $1 </div> - </div><div class="card">$1</div>'
+    framed = F.regexp_replace("html", r"<h1[^>]*>([^<]*)</h1>", cards)
+    pages = spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
+    blocks = markup.class_blocks(framed, "card", "words")
+    return pages.select("page_id", F.explode_outer(blocks).alias("block")).where(F.col("block").isNotNull())
+
+
+@query("background_urls", "SELECT page_id, url AS picture FROM pages")
+def background_urls(spark, folder):
+    """The address of each page as a CSS background, in the three ways of quoting."""
+    quote = F.get(F.array(F.lit(""), F.lit("'"), F.lit('"')), (F.col("page_id") % 3).cast("int"))
+    style = F.concat(F.lit("color: red; background-image: url("), quote, F.col("url"), quote, F.lit("); margin: 0"))
+    return table(spark, folder, "pages").select("page_id", markup.background_url(style).alias("picture"))
+
+
 FIRST_LINK_SQL = "nullif(regexp_extract(html, '<a\\b[^>]*\\shref=\"([^\"]*)\"', 1), '')"
 IMAGE_SQL = "nullif(regexp_extract(html, '<img\\b[^>]*\\ssrc=\"([^\"]*)\"', 1), '')"
 

@@ -115,3 +115,8 @@ def test_class_blocks_follow_nesting(spark):
     )
     df = numbered(spark, [page, None, ""], "string")
     assert values(df, markup.class_blocks(F.col("v"))) == [["제1조A &B", "CD"], None, []]
+
+
+def test_bare_angle_brackets_stay_in_their_text_node():
+    page = '<div class="a"> a < b and 5 <개정 2020> x <b> c </b><!-- n --> d </div>'
+    assert markup._read_blocks(page, "div", "a", None) == ["a < b and 5 <개정 2020> xcd"]
