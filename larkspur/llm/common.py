@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -63,6 +65,13 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8_000_00
         yield batch.slice(start)
 
 
+def release() -> None:
+    """Give back memory that a worker's task has freed, as workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lengths(values: pa.Array) -> list[int]:
     import pyarrow.compute as pc
 

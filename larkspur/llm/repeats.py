@@ -9,7 +9,8 @@ is cut so that suffix arrays are built only where a decision needs them.
 2. Equal runs. Runs with the same anchor and the same bytes repeat each other wholly. A run whose anchor
    is nowhere else repeats nothing.
 3. Suffix arrays. What remains are runs with the same anchor and different bytes: the ends of repeated
-   passages. One copy of each goes to a shard by its anchor. A shard's suffix array is built by induced
+   passages. One copy of each goes to a shard by its anchor. There, strings whose middle nobody shares are
+   left out (``BLOCK`` neighbours at a time). The suffix array of the others is built by induced
    sorting: suffixes are classified as larger or smaller than the next, the leftmost smaller substrings
    are sorted, recursively where their names repeat, and all others are induced in two linear scans.
    Common prefixes with the preceding suffix, in text order, then tell which strings repeat.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import checkpointed, slices, stored
+from larkspur.llm.common import checkpointed, release, slices, stored
 from larkspur.llm.jaccard import mix
 from larkspur.llm.suffixes import common_prefixes, suffix_array
 
@@ -42,7 +43,9 @@ SHARD_BYTES = 1_000_000
 BROADCAST_KEYS = 500_000
 #: Texts of copies that a task remembers, so as to write the runs of equal texts once.
 REMEMBERED = 1_000_000
-SLICE = 2_000_000
+SLICE = 1_000_000
+#: Neighbouring strings whose common middle is compared at once.
+BLOCK = 16
 
 U = np.uint64
 
@@ -94,14 +97,14 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, content hash, first and last string's start of each run; and the run's text.
+    """Anchor hash, content hash, first and last string's start, anchor's start, and text of each run.
 
     ``data`` are the bytes of all texts, cut at ``bounds``; starts count from the beginning of ``data``.
     """
     sizes = np.diff(bounds)
     none = np.zeros(0, np.int64)
     if len(data) < length or not (sizes >= length).any():
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     hashes = Hashes(data)
     grams = hashes.grams(gram)
     packed = (grams & U(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=U)
@@ -118,7 +121,7 @@ def runs(data: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[
     start, end = np.flatnonzero(fresh), np.flatnonzero(last)
     content = hashes.of(start, end + length, 1) + (end - start).astype(U)
     text = np.searchsorted(bounds, start, side="right") - 1
-    return grams[anchor[start]].view(np.int64), content.view(np.int64), start, end, text
+    return grams[anchor[start]].view(np.int64), content.view(np.int64), start, end, anchor[start], text
 
 
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -129,8 +132,8 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, bounds - bounds[0]
 
 
-RUNS = "key long, anchor long, content long, start int, last int"
-SEGMENTS = "anchor long, content long, key long, start int, wanted boolean, bytes binary"
+RUNS = "key long, anchor long, content long, start int, last int, at int"
+SEGMENTS = "anchor long, content long, key long, start int, wanted boolean, at int, bytes binary"
 SPANS = "key long, start int, end int"
 
 
@@ -148,12 +151,14 @@ def _runs(length: int, gram: int) -> Callable[[Iterable[pa.RecordBatch]], Iterat
                     fresh.append(i)
             batch = batch.take(pa.array(fresh, pa.int64()))
             data, bounds = bytes_of(batch.column(1))
-            anchor, content, start, end, text = runs(data, bounds, length, gram)
+            anchor, content, start, end, middle, text = runs(data, bounds, length, gram)
             if len(start):
                 owner = batch.column(0).to_numpy()[text]
                 at = bounds[text]
-                columns = [owner, anchor, content, (start - at).astype(np.int32), (end - at).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "anchor", "content", "start", "last"])
+                places = [x.astype(np.int32) for x in (start - at, end - at, middle - start)]
+                columns = [pa.array(c) for c in (owner, anchor, content, *places)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "anchor", "content", "start", "last", "at"])
+        release()
 
     return run
 
@@ -162,7 +167,7 @@ def _segments(length: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.R
     """The bytes of the listed runs of each text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             data, bounds = bytes_of(batch.column(1))
             lists = batch.column(2)
             edges = lists.offsets.to_numpy()
@@ -171,15 +176,16 @@ def _segments(length: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.R
             if not counts.sum():
                 continue
             parts = parts.slice(int(edges[0]), int(edges[-1] - edges[0]))
-            fields = {n: parts.field(n) for n in ("anchor", "content", "start", "last", "wanted")}
+            fields = {n: parts.field(n) for n in ("anchor", "content", "start", "last", "wanted", "at")}
             begin = np.repeat(bounds[:-1], counts) + fields["start"].to_numpy()
             size = fields["last"].to_numpy() - fields["start"].to_numpy() + length
             offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
             values = data[np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], size)]
             content = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
             owner = pa.array(np.repeat(batch.column(0).to_numpy(), counts))
-            columns = [fields["anchor"], fields["content"], owner, fields["start"], fields["wanted"], content.cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "key", "start", "wanted", "bytes"])
+            columns = [fields["anchor"], fields["content"], owner, fields["start"], fields["wanted"], fields["at"], content.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "key", "start", "wanted", "at", "bytes"])
+        release()
 
     return run
 
@@ -202,47 +208,84 @@ def repeated_strings(segments: list[bytes], length: int) -> list[np.ndarray]:
     return [twice[a : a + n] for a, n in zip(starts, strings, strict=True)]
 
 
+def shared_middles(segments: list[bytes], anchors: np.ndarray, at: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """Segment, first and last string of the ranges whose strings may repeat one of another segment.
+
+    Equal strings have equal anchors at equal distances. ``BLOCK`` distances at a time, the bytes that all
+    strings of these distances have are compared by a hash; who shares them with nobody is left out.
+    """
+    sizes = np.array([len(s) for s in segments])
+    bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
+    hashes = Hashes(np.frombuffer(b"".join(segments), np.uint8))
+    low, high = (at - (sizes - length)) // BLOCK, at // BLOCK  # blocks of distances from the anchor
+    count = high - low + 1
+    owner = np.repeat(np.arange(len(segments)), count)
+    block = high[owner] - (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+    middle = bounds[owner] + at[owner] - BLOCK * block
+    names = mix(hashes.of(middle, middle + length - BLOCK + 1, 1) + mix(anchors[owner].view(U) + block.astype(U)))
+    _, inverse, seen = np.unique(names, return_inverse=True, return_counts=True)
+    kept = np.flatnonzero(seen[inverse.reshape(-1)] > 1)
+    first = np.maximum(at[owner] - BLOCK * block - BLOCK + 1, 0)
+    last = np.minimum(at[owner] - BLOCK * block, sizes[owner] - length)
+    found: list[tuple[int, int, int]] = []
+    for i in kept.tolist():  # by segment, then from its first string
+        o, a, b = int(owner[i]), int(first[i]), int(last[i])
+        if found and found[-1][0] == o and found[-1][2] + 1 == a:
+            found[-1] = (o, found[-1][1], b)
+        else:
+            found.append((o, a, b))
+    return found
+
+
 def _shards(length: int, shard_bytes: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Spans of repeated strings, from rows sorted by anchor: as many anchors at once as a shard holds."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, bool, bytes]] = []  # key, start, wanted, bytes
-        group: dict[int, tuple[int, int, bool, bytes]] = {}  # the current anchor's, by content
+        held: list[tuple] = []  # anchor, content, key, start, wanted, at, bytes
+        group: dict[int, tuple] = {}  # the current anchor's, by content
         anchor, size = None, 0
         out: list[tuple[int, int, int]] = []
 
         def solve() -> None:
             if len(held) < 2:
                 return
-            for (key, start, wanted, _), twice in zip(held, repeated_strings([h[3] for h in held], length), strict=True):
+            anchors, at = np.array([h[0] for h in held], np.int64), np.array([h[5] for h in held], np.int64)
+            parts = shared_middles([h[6] for h in held], anchors, at, length)
+            if not parts:
+                return
+            segments = [held[i][6][a : b + length] for i, a, b in parts]
+            for (i, first, _), twice in zip(parts, repeated_strings(segments, length), strict=True):
+                _, _, key, start, wanted, _, _ = held[i]
                 if wanted and twice.any():
                     edge = np.diff(np.concatenate((np.zeros(1, np.int8), twice.astype(np.int8), np.zeros(1, np.int8))))
                     for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-                        out.append((key, start + a, start + b - 1 + length))
+                        out.append((key, start + first + a, start + first + b - 1 + length))
 
         def batch_of(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
             kinds = (pa.int64(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["key", "start", "end"])
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for found, content, key, start, wanted, value in zip(*columns, strict=True):
-                if found != anchor:
-                    if len(group) > 1:
-                        held.extend(group.values())
-                        size += sum(len(g[3]) for g in group.values())
-                    anchor, group = found, {}
-                    if size >= shard_bytes:
-                        solve()
-                        held, size = [], 0
-                        if len(out) > 10_000:
-                            yield batch_of(out)
-                            out = []
-                group[content] = (key, start, wanted, value)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                for row in zip(*(part.column(i).to_pylist() for i in range(7)), strict=True):
+                    if row[0] != anchor:
+                        if len(group) > 1:
+                            held.extend(group.values())
+                            size += sum(len(g[6]) for g in group.values())
+                        anchor, group = row[0], {}
+                        if size >= shard_bytes:
+                            solve()
+                            held, size = [], 0
+                            if len(out) > 10_000:
+                                yield batch_of(out)
+                                out = []
+                    group[row[1]] = row
         if len(group) > 1:
             held.extend(group.values())
         solve()
         yield batch_of(out)
+        release()
 
     return run
 
@@ -254,7 +297,7 @@ def _strings(length: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Re
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
-                data, bounds = bytes_of(part.column(5))
+                data, bounds = bytes_of(part.column(6))
                 counts = np.diff(bounds) - length + 1
                 at = np.arange(counts.sum()) + np.repeat(bounds[:-1] - (np.cumsum(counts) - counts), counts)
                 hashes = Hashes(data)
@@ -325,7 +368,7 @@ def remove_repeats(
     same_anchor, same_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content")
     counted = found.select("*", F.count("*").over(same_content).alias("c"), F.row_number().over(same_content.orderBy("key", "start")).alias("i"))
     counted = counted.withColumn("n", F.count("*").over(same_anchor)).where("n > 1")
-    counted = stored(counted.select("key", "anchor", "content", "start", "last", (F.col("c") > 1).alias("equal"), ((F.col("n") > F.col("c")) & (F.col("i") == 1)).alias("mixed")), "runs")
+    counted = stored(counted.select("key", "anchor", "content", "start", "last", "at", (F.col("c") > 1).alias("equal"), ((F.col("n") > F.col("c")) & (F.col("i") == 1)).alias("mixed")), "runs")
 
     spans = counted.where("equal").select("key", "start", (F.col("last") + length).cast("int").alias("end"))
     mixed = counted.where("mixed").withColumn("wanted", ~F.col("equal"))
@@ -334,15 +377,17 @@ def remove_repeats(
     any_hot = not hot.isEmpty()
     usual = mixed.join(hot, "anchor", "left_anti") if any_hot else mixed
 
-    def bytes_of_runs(rows: DataFrame) -> DataFrame:
-        listed = rows.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "start", "last", "wanted")).alias("runs"))
+    def from_runs(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
+        listed = rows.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "start", "last", "wanted", "at")).alias("runs"))
         texts = _texts(chosen, listed.join(classes.select("key", "first"), "key"), "runs")
-        return texts.mapInArrow(_segments(length), SEGMENTS)
+        return texts.mapInArrow(function, schema)
 
-    shards = bytes_of_runs(usual).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length, shard_bytes), SPANS)
+    shards = from_runs(usual, _segments(length), SEGMENTS).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length, shard_bytes), SPANS)
     spans = spans.unionByName(shards)
     if any_hot:
-        strings = stored(bytes_of_runs(mixed.join(hot, "anchor", "left_semi")).mapInArrow(_strings(length), "h long, g long, key long, start int, wanted boolean"), "strings")
+        cut_up = lambda batches: _strings(length)(_segments(length)(batches))  # noqa: E731  in one worker
+        schema = "h long, g long, key long, start int, wanted boolean"
+        strings = stored(from_runs(mixed.join(hot, "anchor", "left_semi"), cut_up, schema), "strings")
         twice = strings.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1").select("h", "g")
         spans = spans.unionByName(strings.where("wanted").join(twice, ["h", "g"]).select("key", "start", (F.col("start") + length).cast("int").alias("end")))
 

@@ -23,7 +23,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     found = found[found >= 0]  # the leftmost smaller substrings, sorted
     names, count = _names(s, lms, found)
     if count < len(lms):
-        found = np.array(_sorted_list(names.tolist(), count), np.int64)
+        found = np.array(_sorted_list(names, count), np.int64)
     return _induce(s, smaller, lms[found])[1:]
 
 
@@ -106,28 +106,14 @@ def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return order
 
 
-def _sorted_list(s: list[int], size: int) -> list[int]:
-    """Order of the suffixes of ``s``, whose last element is a single smallest one."""
-    n = len(s)
+def _sorted_list(names: np.ndarray, size: int) -> list[int]:
+    """Order of the suffixes of ``names``, whose last element is a single smallest one."""
+    n = len(names)
     if size == n:
-        order = [0] * n
-        for i, c in enumerate(s):
-            order[c] = i
-        return order
-    smaller = bytearray(n)
-    smaller[n - 1] = 1
-    following, kind = s[n - 1], 1
-    lms = []
-    for i in range(n - 2, -1, -1):
-        c = s[i]
-        if c != following:
-            fresh = 1 if c < following else 0
-            if kind and not fresh:
-                lms.append(i + 1)
-            kind = fresh
-        smaller[i] = kind
-        following = c
-    lms.reverse()
+        return np.argsort(names).tolist()
+    kinds = _smaller(names)
+    lms = np.flatnonzero(kinds[1:] & ~kinds[:-1]) + 1
+    s, smaller = names.tolist(), kinds.tobytes()
     counts = [0] * size
     for c in s:
         counts[c] += 1
@@ -159,18 +145,12 @@ def _sorted_list(s: list[int], size: int) -> list[int]:
                 order[tails[c]] = x - 1
         return order
 
-    order = induce(lms)
-    place = {x: i for i, x in enumerate(lms)}
-    found = [x for x in order if x in place]
-    after = dict(zip(lms, [*lms[1:], n - 1], strict=True))
-    names, name, last = [0] * len(lms), -1, -1
-    for x in found:
-        to = after[x]
-        if last < 0 or to - x != after[last] - last or s[last : after[last] + 1] != s[x : to + 1]:
-            name += 1
-        names[place[x]] = name
-        last = x
-    return induce([lms[i] for i in _sorted_list(names, name + 1)])
+    place = np.full(n, -1, np.int64)
+    place[lms] = np.arange(len(lms))
+    found = place[np.array(induce(lms.tolist()), np.int64)]
+    found = found[found >= 0]
+    deeper, count = _names(names, lms, found)
+    return induce(lms[np.array(_sorted_list(deeper, count), np.int64)].tolist())
 
 
 #: Distance of the places whose common prefixes are compared first.
