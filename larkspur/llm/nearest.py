@@ -74,7 +74,7 @@ def _assign(pivots: list[list[float]]):
                 size = rows.shape[1]
                 known = by_size.get(size)
                 # Lengths without a pivot are groups of their own around zero.
-                centres = np.array([pivots[i] for i in known], float).reshape(-1, size) if known else np.zeros((1, size))
+                centres = np.array([pivots[i] for i in known], float).reshape(len(known), size) if known else np.zeros((1, size))
                 squares = (rows**2).sum(1)[:, None] - 2 * rows @ centres.T + (centres**2).sum(1)
                 near = squares.argmin(1)
                 cells[at] = np.array(known, np.int32)[near] if known else -1 - size
@@ -102,7 +102,7 @@ def _send(pivots: list[list[float]], groups: dict[int, tuple[int, float]], first
                 near = [c for c in groups if (c == -1 - size if c < 0 else len(pivots[c]) == size)]
                 if not near:
                     continue
-                centres = np.array([pivots[c] if c >= 0 else [0.0] * size for c in near], float).reshape(-1, size)
+                centres = np.array([pivots[c] if c >= 0 else [0.0] * size for c in near], float).reshape(len(near), size)
                 count = np.array([groups[c][0] for c in near])
                 dots = rows @ centres.T
                 home = dots.argmax(1)

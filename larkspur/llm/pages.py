@@ -173,6 +173,8 @@ class Page:
                 found = None if tag in gone else re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(source, at)
                 if found:
                     at = found.end()
+                elif tag in ("script", "style"):
+                    break
                 else:
                     gone.add(tag)
                 continue
