@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import encoding, features, metrics, models, sampling
 from larkspur.operators.oversample import oversample
-from larkspur.plans.churn import AGE_RANK_SQL, CHURN_SQL, churn_view, hash_sql, snapshot_view
+from larkspur.plans.churn import AGE_RANK_SQL, CHURN_DATE, CHURN_SQL, churn_view, hash_sql, snapshot_view
 from larkspur.plans.oversampling import FEATURES
 from larkspur.plans.registry import query
 from larkspur.session import shared_folder
@@ -203,3 +203,61 @@ def ensemble_summary(spark, folder):
     """Summary of the soft vote on the test rows at the tuned threshold."""
     _, test = _ensemble(spark, folder)
     return metrics.summary_report(test, models.ENSEMBLE_THRESHOLD)
+
+
+LABEL_SQL = f"""WITH labels AS (SELECT c_custkey, coalesce(max(o_orderdate) < TIMESTAMP '{CHURN_DATE}', true) AS churned,
+        CASE WHEN {hash_sql('c_custkey')} % 16 < 4 THEN 'test' WHEN {hash_sql('c_custkey')} % 16 < 7 THEN 'valid' ELSE 'train' END AS split
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)"""
+
+
+def _check_sql(held_out: str) -> str:
+    return (
+        LABEL_SQL
+        + f""" SELECT count(*) FILTER (split = 'train') AS fitted_rows, count(*) FILTER (split = 'train' AND churned) AS fitted_positives,
+    count(*) FILTER (split = '{held_out}') AS scored_rows, count(*) FILTER (split = '{held_out}' AND churned) AS scored_positives,
+    true AS in_range, true AS unbiased FROM labels"""
+    )
+
+
+def _checks(model, train, scored, weight=None, tolerance=1e-3):
+    """Row and label counts, whether scores lie in 0 to 1, and whether residuals cancel in training.
+
+    Logistic regression with a free intercept and unpruned trees both fit the weighted share of the
+    positive class exactly, wherever their fit has converged.
+    """
+    weights = F.col(weight) if weight else F.lit(1.0)
+    fitted = model.transform(train).select("churn", vector_to_array("probability")[1].alias("p"), weights.alias("w"))
+    residual = F.abs(F.sum(F.col("w") * (F.col("p") - F.col("churn")))) / F.sum("w")
+    left = fitted.agg(F.count("*").alias("fitted_rows"), F.sum("churn").alias("fitted_positives"), (residual < tolerance).alias("unbiased"))
+    scores = models.score_table(model, scored, "checked")
+    right = scores.agg(
+        F.count("*").alias("scored_rows"), F.sum("label").alias("scored_positives"), F.min(F.col("score").between(0, 1)).alias("in_range")
+    )
+    one = F.lit(1).alias("one")
+    return left.select(one, "*").join(right.select(one, "*"), "one").drop("one")
+
+
+@query("logistic_regression_checks", _check_sql("valid"))
+def logistic_regression_checks(spark, folder):
+    train, valid, _ = _prepared(spark, folder, sampling.add_balanced_weight)
+    model = models.logistic_regression(models.total_weight(train)).fit(train)
+    return _checks(model, train, valid, "weight")
+
+
+@query("decision_tree_checks", _check_sql("test"))
+def decision_tree_checks(spark, folder):
+    train, _, test = _prepared(spark, folder, _unweighted)
+    return _checks(models.decision_tree().fit(train), train, test)
+
+
+@query(
+    "final_logistic_checks",
+    LABEL_SQL + " SELECT count(*) AS \"rows\", count(*) FILTER (churned) AS positives, count(*) AS agreeing FROM labels WHERE split = 'test'",
+)
+def final_logistic_checks(spark, folder):
+    """The hard labels of the final model against its scores at one half."""
+    train, _, test = _prepared(spark, folder, _unweighted)
+    model = models.logistic_regression(models.total_weight(train, None), c=0.1, weight=None, tol=1e-4).fit(train)
+    both = models.predictions(model, test).join(models.score_table(model, test, "final").select("row_id", "score"), "row_id")
+    agrees = F.col("pred") == (F.col("score") > 0.5).cast("int")
+    return both.agg(F.count("*").alias("rows"), F.sum("label").cast("long").alias("positives"), F.count_if(agrees).alias("agreeing"))
