@@ -92,14 +92,20 @@ def add_prompt(rows: DataFrame, template: str = PROMPT) -> DataFrame:
 
 
 def best_sentence(question: Column, texts: Column) -> Column:
-    """The sentence holding the largest share of the question's tokens; the earliest if equal."""
-    wanted = tokens(question)
+    """The sentence holding the largest share of the question's tokens; the earliest if equal.
+
+    The question's tokens are bound to a lambda's variable, so that they are computed once for all sentences.
+    """
     listed = F.flatten(F.transform(texts, sentences))
-    scored = F.transform(
-        listed,
-        lambda s, i: F.struct(containment(wanted, tokens(s)).alias("share"), (-i).alias("place"), s.alias("text")),
-    )
-    return F.array_max(scored)["text"]
+
+    def best(wanted: Column) -> Column:
+        scored = F.transform(
+            listed,
+            lambda s, i: F.struct(containment(wanted, tokens(s)).alias("share"), (-i).alias("place"), s.alias("text")),
+        )
+        return F.array_max(scored)["text"]
+
+    return F.get(F.transform(F.array(tokens(question)), best), F.lit(0))
 
 
 def add_extractive_answer(rows: DataFrame, out: str = "response") -> DataFrame:

@@ -25,7 +25,6 @@ from larkspur.session import shared_folder
 SEED = 42
 
 # Fixed thresholds: plain, the tuned one of the ensemble, and that of the fold average.
-PLAIN_THRESHOLD = 0.5
 ENSEMBLE_THRESHOLD = 0.47
 FOLD_THRESHOLD = 0.4
 

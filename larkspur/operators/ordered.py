@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from larkspur.functions.numeric import PRIME
 from larkspur.session import shuffle_width
 
-MAX_RANGES = 1024
-
 # Errors of the first quantile sketch and of further ones, and how many distinct values one task
 # may put in order.
 COARSE_ERROR = 1e-3
@@ -29,7 +27,8 @@ RANGE = "__range"
 
 
 def _range_count(df: DataFrame) -> int:
-    return max(2, min(MAX_RANGES, shuffle_width(df.sparkSession)))
+    """As many ranges as the session shuffles into, which is set by the size of its data."""
+    return max(2, shuffle_width(df.sparkSession))
 
 
 def with_ranges(df: DataFrame, key: str) -> DataFrame:
@@ -69,7 +68,7 @@ def running_totals(
     keys = [*by, RANGE]
     totals = ranged.groupBy(*keys).agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
     direction = F.col(RANGE).desc() if descending else F.col(RANGE).asc()
-    # At most MAX_RANGES rows per group reach this window.
+    # One row per group and range reach this window.
     before = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys, *[F.coalesce(F.sum(f"__t_{s}").over(before), F.lit(0)).alias(f"__o_{s}") for s in sums]

@@ -39,12 +39,3 @@ CONVERSATIONS = T.StructType(
         T.StructField("text", T.StringType()),
     ]
 )
-
-EVALUATION_ROW = T.StructType(
-    [
-        T.StructField("response", T.StringType()),
-        T.StructField("retrieved_contexts", T.ArrayType(T.StringType())),
-        T.StructField("user_input", T.StringType()),
-        T.StructField("reference", T.StringType()),
-    ]
-)
