@@ -11,17 +11,21 @@ from larkspur.llm.common import checkpointed
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label`` for every node of ``edges`` (a, b: long); equal labels, same component.
 
-    A round maps each node to its smallest neighbour's smallest neighbour and keeps the edges whose ends
-    still differ, so the graph shrinks by at least half each time and a star is done in one round. A hub
-    is only a join key with one row on its other side. Edges with NULL ends are left out.
+    A round ties each node to its smallest neighbour, follows these ties to their roots by doubling, and
+    keeps the edges whose roots differ: at most half of the nodes are left each time, and long paths take
+    few steps. A hub is only a join key with one row on its other side. Edges with NULL ends are left out.
     """
     left = checkpointed(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     labels: DataFrame | None = None
     while True:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        nearest = checkpointed(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")))
-        further = nearest.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        hooked = checkpointed(nearest.join(further, "label").select("node", F.col("next").alias("label")))
+        hooked = checkpointed(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")))
+        while True:
+            further = hooked.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            doubled = checkpointed(hooked.join(further, "label").select("node", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved")))
+            hooked = doubled.select("node", "label")
+            if doubled.where("moved").isEmpty():
+                break
         if labels is None:
             labels = hooked
         else:

@@ -4,15 +4,16 @@ Equal sets are one node, named by a 64-bit digest. Two steps find all links betw
 
 1. Families. Sets are cut into parts by the shingles' hashes, one part more than a linked pair can
    differ in shingles, so every linked pair has an equal part. Sizes are classes of the threshold's
-   ratio; a set writes the signatures of its parts for its own class and for the next. Sets with a
-   common signature are in one family. Unrelated sets hardly ever share a whole part.
+   ratio; a set writes the signatures of its parts for its own class and for the next. More parts than
+   one have to be equal, as there are some to spare: sets with too few common signatures are taken out.
+   Of the others, those with a common signature are in one family. Unrelated sets hardly ever are.
 2. Set relations within a family. Index lists over each set's rarest shingles hold their entries by size
    and position, so a probe skips blocks whose positions leave too little to reach the threshold. What
    is left is checked exactly; once a set is linked to one highly similar set, the answers of that set
    are its own, and no entry of that class is looked at again.
 
-Sets of large families go to cells by size class and chunks of bounded size. First each chunk is solved
-by itself; then only sets outside of a family's main class meet all chunks. Nothing is left out, no group
+Families are of one size class, and large ones are cut into chunks of bounded size. First each chunk is
+solved by itself; then only sets outside of a family's main class meet all chunks. Nothing is left out, no group
 is held whole, and no pairs of a group are written: a cell returns a link for each class it joins.
 """
 
@@ -27,12 +28,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import checkpointed, slices, stored
+from larkspur.llm.common import checkpointed, release, slices, stored
 from larkspur.llm.components import components
 
 #: Shingles and sets that a cell holds, about.
-CELL_SHINGLES = 2_000_000
+CELL_SHINGLES = 3_000_000
 CELL_SETS = 4096
+#: How often sets with too few common signatures for any link are taken out.
+PRUNINGS = 2
+#: Bytes of text that are hashed at once.
+SLICE = 1_000_000
+#: Bits of a shingle's hash that sets of a cell are compared by, and its bytes in a row.
+BITS, BYTES = 40, 5
 #: Ids up to which the choice of documents to read again is broadcast; beyond, texts are shuffled.
 BROADCAST_IDS = 500_000
 #: Digests a task remembers so as to write signatures of equal sets once.
@@ -115,8 +122,8 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
 class Sizes:
     """Classes of set sizes, and how far linked sets of a class differ.
 
-    The threshold is the fraction ``part / whole``. A class holds the sizes from ``low`` to
-    floor(low * whole / part), so that a linked pair is of one class or of two neighbours.
+    The threshold is the fraction ``part / whole``. A class holds sizes up to ``whole / part`` squared times
+    its lowest, so a linked pair is of one class, or of two neighbours if the smaller set is near the end.
     """
 
     def __init__(self, part: int, whole: int):
@@ -125,13 +132,19 @@ class Sizes:
 
     def class_of(self, n: int) -> int:
         while self.lows[-1] <= n:
-            self.lows.append(self.lows[-1] * self.whole // self.part + 1)
+            self.lows.append(self.lows[-1] * self.whole**2 // self.part**2 + 1)
         a, b = 0, len(self.lows)
         while b - a > 1:
             m = (a + b) // 2
             a, b = (m, b) if self.lows[m] <= n else (a, m)
         return a
 
+    def lows_to(self, n: int) -> list[int]:
+        """The lowest sizes of all classes up to that of ``n``, and of the two beyond."""
+        self.class_of(n)
+        self.class_of(self.lows[-1])
+        return list(self.lows)
+
     def difference(self, c: int) -> int:
         """The most shingles in which a linked pair with its larger set in class ``c`` differs."""
         self.class_of(self.lows[-1])
@@ -139,6 +152,13 @@ class Sizes:
             self.class_of(self.lows[-1])
         return 2 * (self.lows[c + 1] - 1) * (self.whole - self.part) // (self.whole + self.part)
 
+    def reaches(self, n: int, c: int) -> bool:
+        """Whether a set of ``n`` may link with one of the larger class ``c``."""
+        self.class_of(self.lows[-1])
+        while len(self.lows) <= c:
+            self.class_of(self.lows[-1])
+        return n * self.whole >= self.lows[c] * self.part
+
     def parts(self, c: int) -> tuple[int, int]:
         """How many parts a set of class ``c`` is cut into, and how many of a pair's equal parts may be
         empty while a non-empty one is certain."""
@@ -153,10 +173,12 @@ class Sizes:
         return -((a + b) * -self.part // (self.part + self.whole))
 
 
-def signatures(shingles: np.ndarray, sizes: Sizes) -> np.ndarray:
+def signatures(shingles: np.ndarray, sizes: Sizes) -> list[tuple[int, int, np.ndarray]]:
+    """Classes that the set takes part in, each with how many signatures a linked set has in common with it
+    at least, and with the signatures."""
     own = sizes.class_of(len(shingles))
     found = []
-    for c in (own, own + 1):
+    for c in (own, own + 1) if sizes.reaches(len(shingles), own + 1) else (own,):
         if sizes.difference(c) == 0:
             continue  # linked sets of this class are equal
         count, spare = sizes.parts(c)
@@ -166,54 +188,78 @@ def signatures(shingles: np.ndarray, sizes: Sizes) -> np.ndarray:
         np.add.at(sums, where, mix(shingles + BASE))
         empty = int((held == 0).sum())
         chosen = np.flatnonzero(held > 0) if empty <= spare else np.arange(count)
-        found.append(mix(mix(sums[chosen] + chosen.astype(U)) + U(c)))
-    return np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+        common = count - sizes.difference(c) - (count - len(chosen))
+        found.append((c, common, mix(mix(sums[chosen] + chosen.astype(U)) + U(c)).view(np.int64)))
+    return found
 
 
 def digest(shingles: np.ndarray) -> int:
     return int(mix(np.add.reduce(mix(shingles), dtype=U, keepdims=True) + U(len(shingles))).view(np.int64)[0])
 
 
-def _described(width: int, part: int, whole: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _described(width: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE):
+            sets = shingle_sets(batch.column(1), width)
+            digests = pa.array([digest(s) if len(s) else None for s in sets], pa.int64())
+            columns = [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), digests]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_shingles", "digest"])
+
+    return run
+
+
+def _signed(width: int, part: int, whole: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(part, whole)
         written: set[int] = set()
-        for batch in slices(batches, "text"):
-            counts, digests, parts = [], [], []
-            for s in shingle_sets(batch.column(1), width):
-                key = digest(s) if len(s) else None
-                fresh = key is not None and key not in written
-                if fresh:
+        for batch in slices(batches, "text", SLICE):
+            keys, places, needs, parts = [], [], [], [np.zeros(0, np.int64)]
+            for s in shingle_sets(batch.column(0), width):
+                key = digest(s)
+                if len(s) and key not in written:
                     if len(written) >= REMEMBERED:
                         written.clear()
                     written.add(key)
-                counts.append(len(s))
-                digests.append(key)
-                parts.append(signatures(s, sizes) if fresh else np.zeros(0, np.int64))
-            bounds = np.concatenate((np.zeros(1, np.int32), np.cumsum([len(p) for p in parts]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(parts), pa.int64()))
-            columns = [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(digests, pa.int64()), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_shingles", "digest", "signatures"])
+                    for c, common, found in signatures(s, sizes):
+                        keys.append(key)
+                        places.append(c)
+                        needs.append(common)
+                        parts.append(found)
+            counts = [len(p) for p in parts[1:]]
+            columns = [np.repeat(np.array(x, kind), counts) for x, kind in ((keys, np.int64), (places, np.int32), (needs, np.int32))]
+            columns = [pa.array(c) for c in (*columns, np.concatenate(parts))]
+            yield pa.RecordBatch.from_arrays(columns, names=["digest", "class", "need", "signature"])
+        release()
 
     return run
 
 
 def _sets(width: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             sets = shingle_sets(batch.column(2), width)
             # Where an id has several texts, only one of them is that node.
             same = [i for i, (s, node) in enumerate(zip(sets, batch.column(0).to_pylist(), strict=True)) if digest(s) == node]
             sets = [sets[i] for i in same]
-            bounds = np.concatenate((np.zeros(1, np.int32), np.cumsum([len(s) for s in sets]))).astype(np.int32)
-            values = np.concatenate([np.zeros(0, U), *sets]).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
+            packed = [packed_set(s) for s in sets]
+            lists = pa.array(packed, pa.binary())
             taken = batch.take(pa.array(same, pa.int64()))
-            yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), lists], names=["node", "family", "shingles"])
+            yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), lists], names=["node", "cells", "shingles"])
 
     return run
 
 
+def packed_set(shingles: np.ndarray) -> bytes:
+    """The first bits of the hashes, sorted; each in ``BYTES`` bytes."""
+    return (shingles >> U(64 - BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
+
+
+def unpacked_set(value: bytes) -> np.ndarray:
+    wide = np.zeros((len(value) // BYTES, 8), np.uint8)
+    wide[:, :BYTES] = np.frombuffer(value, np.uint8).reshape(-1, BYTES)
+    return wide.reshape(-1).view(U)
+
+
 class Classes:
     """Union-find over places."""
 
@@ -320,22 +366,21 @@ def _solved(part: int, whole: int) -> Callable[[Iterable[pa.RecordBatch]], Itera
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            cells = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
-            lists = batch.column(6)
-            edges, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(U)
-            ids, known = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            cells = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+            ids, known, values = batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5)
             for i, cell in enumerate(cells):
                 if cell != key:
                     solve()
                     key, nodes, labels, sets = cell, [], [], []
                 nodes.append(ids[i])
                 labels.append(known[i])
-                sets.append(values[edges[i] : edges[i + 1]].copy())
+                sets.append(unpacked_set(values[i].as_py()))
             if len(out) > 10_000:
                 yield batch_of(out)
                 out = []
         solve()
         yield batch_of(out)
+        release()
 
     return run
 
@@ -358,7 +403,8 @@ def jaccard_classes(
     is one shingle; a text that is NULL or has no words has the empty set, links with nothing, and its
     component is its own id. Repeated rows are alike. A row without an id has the component of the rows
     with an equal set, if any has an id.
-    Other columns are not read; no rows give no rows. Shingles are compared by 64-bit hashes.
+    Other columns are not read; no rows give no rows. Equal sets are found by 64-bit hashes, and the
+    shingles of two sets are compared by 40 bits of theirs.
     """
     rows = _classified(docs, doc_id, text, width, threshold, cell_shingles, cell_sets)
     return rows.select("doc_id", "n_shingles", "component_id")
@@ -369,17 +415,31 @@ def _classified(docs: DataFrame, doc_id: str, text: str, width: int, threshold:
     part, whole = threshold
     chosen = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     hashed = chosen.select("doc_id", "text", _text_hash("text").alias("text_hash"))
-    schema = "doc_id long, text_hash long, n_shingles long, digest long, signatures array<long>"
-    described = stored(hashed.mapInArrow(_described(width, part, whole), schema), "sets")
+    schema = "doc_id long, text_hash long, n_shingles long, digest long"
+    described = stored(hashed.mapInArrow(_described(width), schema), "sets")
     kinds = described.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
 
     # Families: a set is tied to the smallest one with the same signature.
-    written = described.where(F.size("signatures") > 0).select("digest", F.explode("signatures").alias("signature"))
-    smallest = F.first("digest").over(Window.partitionBy("signature").orderBy("digest"))
-    families = components(written.select(smallest.alias("a"), F.col("digest").alias("b")))
-    member = checkpointed(families.select(F.col("node"), F.col("label").alias("family")).join(kinds, F.col("node") == F.col("digest")).select("node", "family", "first", "n"))
+    written = chosen.select("text").mapInArrow(_signed(width, part, whole), "digest long, class int, need int, signature long")
+    node = F.xxhash64("digest", "class")
+    group = Window.partitionBy("signature")
+    shared = written.select(node.alias("node"), "signature", "need").withColumn("n", F.count("*").over(group)).where("n > 1").drop("n")
+    shared = stored(shared, "signatures")
+    for _ in range(PRUNINGS):
+        alive = shared.groupBy("node").agg(F.count_distinct("signature").alias("c"), F.max("need").alias("least")).where("c >= least").select("node")
+        shared = stored(shared.join(alive, "node").withColumn("n", F.count("*").over(group)).where("n > 1").drop("n"), "signatures")
+    smallest = F.first("node").over(group.orderBy("node"))
+    families = components(shared.select(smallest.alias("a"), F.col("node").alias("b")))
 
     sizes = Sizes(part, whole)
+    largest = kinds.agg(F.max("n")).first()[0] or 0
+    lows = sizes.lows_to(largest)
+    own = F.size(F.filter(F.array(*map(F.lit, lows)), lambda low: low <= F.col("n"))) - 1
+    reach = F.col("n") * whole >= F.get(F.array(*map(F.lit, lows)), F.col("class") + 1) * part
+    placed = kinds.withColumn("class", own).withColumn("class", F.explode(F.when(reach, F.array("class", F.col("class") + 1)).otherwise(F.array("class"))))
+    member = placed.withColumn("tied", node).join(families.select(F.col("node").alias("tied"), F.col("label").alias("family")), "tied")
+    member = checkpointed(member.select(F.col("digest").alias("node"), "family", "first", "n"))
+
     links = _links(chosen, member, width, sizes, cell_shingles, cell_sets)
     joined = components(links)
 
@@ -426,51 +486,40 @@ def keep_one_of_each(
 
 
 def _links(chosen: DataFrame, member: DataFrame, width: int, sizes: Sizes, cell_shingles: int, cell_sets: int) -> DataFrame:
+    """Links that join the sets of each family (of one size class), whole families first."""
     part, whole = sizes.part, sizes.whole
-    held = checkpointed(member.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")))
-    large = (F.col("sets") > cell_sets) | (F.col("shingles") > cell_shingles)
-    if held.where(large).isEmpty():
-        cells = member.select("node", "family", "first", F.lit(0).alias("class"), F.lit(0).alias("chunk"))
-        return stored(_solve(chosen, cells.withColumn("probe", F.lit(0)).withColumn("label", F.col("node")), width, part, whole), "links")
-
-    # Cells by size class for large families, and chunks where a class is still large.
-    log = F.floor(F.log(F.greatest(F.col("n").cast("double"), F.lit(1.0))) / float(np.log(whole / part))).cast("int")
-    sized = member.join(held.where(large).select("family", F.lit(True).alias("large")), "family", "left")
-    spread = sized.select("node", "family", "first", "n", F.explode(F.when(F.col("large"), F.array(log, log + 1, log + 2)).otherwise(F.array(F.lit(0)))).alias("class"))
-    weights = spread.groupBy("family", "class").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-    chunks = F.greatest(F.ceil(F.col("sets") / cell_sets), F.ceil(F.col("shingles") / cell_shingles)).cast("int")
-    cells = checkpointed(
-        spread.join(weights.select("family", "class", chunks.alias("chunks")), ["family", "class"]).select(
-            "node", "family", "first", "class", "chunks", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk")
-        )
-    )
-    alone = cells.select("node", "family", "first", "class", "chunk", F.lit(0).alias("probe"), F.col("node").alias("label"))
+    chunks = F.greatest(F.ceil(F.count("*") / cell_sets), F.ceil(F.sum("n") / cell_shingles)).cast("int")
+    held = member.groupBy("family").agg(chunks.alias("chunks"))
+    cells = checkpointed(member.join(held, "family").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int")))
+    alone = cells.select("node", "family", "first", "chunk", F.lit(0).alias("probe"), F.col("node").alias("label"))
     first = stored(_solve(chosen, alone, width, part, whole), "links")
     cut = cells.where("chunks > 1")
     if cut.isEmpty():
         return first
+
+    # Sets outside of their family's main class meet all chunks; the main class is connected already.
     known = components(first)
     labelled = checkpointed(cut.join(known, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    counted = labelled.groupBy("family", "class", "label").agg(F.count("*").alias("c"))
-    main = counted.groupBy("family", "class").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-    outside = labelled.join(main, ["family", "class"]).where("label <> main").drop("main")
-    groups = outside.groupBy("family", "class").agg(F.ceil(F.count("*") / cell_sets).cast("int").alias("probes"))
-    asked = outside.join(groups, ["family", "class"]).withColumn("probe", F.pmod(F.xxhash64(F.lit(1), "node"), "probes").cast("int"))
-    probes = asked.select("node", "family", "first", "class", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "probe", "label")
-    index = labelled.join(groups, ["family", "class"]).select(
-        "node", "family", "first", "class", "chunk", F.explode(F.sequence(F.lit(0), F.col("probes") - 1)).alias("probe"), "label"
-    )
+    counted = labelled.groupBy("family", "label").agg(F.count("*").alias("c"))
+    main = counted.groupBy("family").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
+    outside = labelled.join(main, "family").where("label <> main").drop("main")
+    groups = outside.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / cell_sets), F.ceil(F.sum("n") / cell_shingles)).cast("int").alias("probes"))
+    asked = outside.join(groups, "family").withColumn("probe", F.pmod(F.xxhash64(F.lit(1), "node"), "probes").cast("int"))
+    columns = ["node", "family", "first", "chunk", "probe", "label"]
+    probes = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*columns)
+    index = labelled.join(groups, "family").withColumn("probe", F.explode(F.sequence(F.lit(0), F.col("probes") - 1))).select(*columns)
     second = _solve(chosen, index.unionByName(probes), width, part, whole)
     return stored(first.unionByName(second), "links")
 
 
 def _solve(chosen: DataFrame, cells: DataFrame, width: int, part: int, whole: int) -> DataFrame:
-    """Links found in ``cells`` (node, family, first: a document with that set, class, chunk, probe, label)."""
-    asked = cells.select("first", "node", "family").distinct()
-    if asked.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    """Links found in ``cells`` (node, family, first: a document with that set, chunk, probe, label)."""
+    keys = ["family", "chunk", "probe"]
+    asked = cells.groupBy("node", "first").agg(F.collect_list(F.struct(*keys, "label")).alias("cells"))
+    if cells.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         asked = F.broadcast(asked)
-    once = chosen.join(asked, F.col("doc_id") == F.col("first")).select("node", "family", "text")
-    sets = once.mapInArrow(_sets(width), "node long, family long, shingles array<long>")
-    keys = ["family", "class", "chunk", "probe"]
-    rows = sets.join(cells.select("node", *keys, "label"), ["node", "family"]).select(*keys, "node", "label", "shingles")
+    once = chosen.join(asked, F.col("doc_id") == F.col("first")).select("node", "cells", "text")
+    place = "array<struct<family: long, chunk: int, probe: int, label: long>>"
+    sets = once.mapInArrow(_sets(width), f"node long, cells {place}, shingles binary")
+    rows = sets.select("node", F.explode("cells").alias("cell"), "shingles").select(*[f"cell.{k}" for k in keys], "node", "cell.label", "shingles")
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_solved(part, whole), "a long, b long")

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import slices
+from larkspur.llm.common import release, slices
 
 #: Bounds of the training sample: texts a language, characters of a text that may be chosen, bytes of
 #: a dictionary, and languages. They bound what the driver holds: languages times dictionary bytes.
@@ -142,6 +142,7 @@ def _identified(dictionaries: tuple[tuple[str, bytes], ...], level: int, scale:
             accepted = [lang != UNKNOWN and margin >= minimum for lang, _, margin in found]
             columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.int64()), pa.array(accepted)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "margin", "accepted"])
+        release()
 
     return run
 
@@ -182,6 +183,7 @@ def keep_accepted(
         for batch in slices(batches, text):
             found = classify(batch.column(at), learned, level, SCALE)
             yield batch.filter(pa.array([lang != UNKNOWN and margin >= minimum for lang, _, margin in found], pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import slices
+from larkspur.llm.common import release, slices
 
 CAPACITY = 2048
 END_ID = 1
@@ -106,11 +106,14 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     """
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
+    @lru_cache(maxsize=1)
+    def library() -> Tokenizer:
+        made = Tokenizer.from_file(path)
+        made.encode_special_tokens = True
+        return made
 
     def by_library(text: str) -> list[int]:
-        return slow.encode(text, add_special_tokens=False).ids
+        return library().encode(text, add_special_tokens=False).ids
 
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
@@ -198,6 +201,7 @@ def _packed(path: str, capacity: int, end_id: int, piece: int, group: int) -> Ca
         rows = full + list(dealt(waiting))
         if rows:
             yield out(rows)
+        release()
 
     return run
 
