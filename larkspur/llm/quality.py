@@ -31,7 +31,7 @@ CUTS = 12
 MAX_CONDITIONS = 4
 MAX_RULES = 12
 #: A rule must be right this often on the pruning cells, and cover so many rows of all.
-LEAST_PRECISION = 0.8
+LEAST_PRECISION = 0.95
 LEAST_COVER = 5
 
 
