@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from larkspur.functions import markup
 from larkspur.operators import corpus
 from larkspur.plans import retrieval, scoring
+from larkspur.plans.churn import CHURN_SQL, churn_view
 from larkspur.plans.registry import query
 from larkspur.session import fresh_folder, spread
 from larkspur.sources import collections, documents, schemas, tables
@@ -235,3 +236,34 @@ def stored_collection(spark, folder):
         F.count("*").alias("n_terms"), F.sum("tf").alias("n_tokens")
     )
     return picked.join(sizes, "chunk_id").select("file_name", "seq", "n_terms", "n_tokens")
+
+
+@query("customers_through_csv", CHURN_SQL + "SELECT * FROM churn_view")
+def customers_through_csv(spark, folder):
+    """The stand-in customers written as CSV with a header and scanned with the strict schema."""
+    path = fresh_folder(spark, "customers")
+    churn_view(spark, folder).select(*schemas.CUSTOMERS.fieldNames()).write.option("header", True).csv(path)
+    return tables.read_customers(spark, path)
+
+
+@query(
+    "documents_upserted",
+    f"""WITH t AS (SELECT page_id, url, {TITLE_SQL} AS title FROM pages),
+    e AS (SELECT title, min(page_id) AS a, max(page_id) AS b FROM t WHERE title IS NOT NULL GROUP BY title)
+    SELECT e.title, url, CAST(2 AS INTEGER) AS n_contents FROM e
+    JOIN t ON page_id = CASE WHEN b % 2 = 1 THEN b ELSE a END""",
+)
+def documents_upserted(spark, folder):
+    """First versions of titles written, some replaced by their last, all scanned and validated again."""
+    pages = table(spark, folder, "pages").select("page_id", "url", _title().alias("title")).where("title IS NOT NULL")
+    ends = pages.groupBy("title").agg(F.min("page_id").alias("a"), F.max("page_id").alias("b"))
+    contents = F.array("title", F.lit("a \"quoted\"\nline")).alias("contents")
+
+    def version(place):
+        return pages.join(ends.select(F.col(place).alias("page_id")), "page_id", "left_semi").select("title", contents, "url", "page_id")
+
+    path = fresh_folder(spark, "documents")
+    documents.write_documents(version("a"), path)
+    documents.write_documents(version("b").where("page_id % 2 = 1"), path)
+    found = documents.read_documents(spark, path)
+    return found.select("title", "url", F.size("contents").alias("n_contents"))
