@@ -32,8 +32,8 @@ from larkspur.llm.common import checkpointed, release, slices, stored
 from larkspur.llm.components import components
 
 #: Shingles and sets that a cell holds, about.
-CELL_SHINGLES = 3_000_000
-CELL_SETS = 4096
+CELL_SHINGLES = 8_000_000
+CELL_SETS = 16_384
 #: How often sets with too few common signatures for any link are taken out.
 PRUNINGS = 2
 #: Bytes of text that are hashed at once.
@@ -290,9 +290,10 @@ def linked_classes(sets: list[np.ndarray], sizes: Sizes, labels: list[int] | Non
     bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
     _, inverse, seen = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True, return_counts=True)
     by_count = np.argsort(seen, kind="stable")
-    rank = np.empty(len(seen), np.int64)
-    rank[by_count] = np.arange(len(seen))
+    rank = np.empty(len(seen), np.int32)
+    rank[by_count] = np.arange(len(seen), dtype=np.int32)
     tokens = rank[inverse.reshape(-1)]  # small ranks are rare in this cell
+    del inverse
     alone = int((seen == 1).sum())  # ranks below are in one set only
     least = -(-size * sizes.part // sizes.whole)
     prefix = size - least + 1
