@@ -277,6 +277,7 @@ def linked_classes(sets: list[np.ndarray], sizes: Sizes, labels: list[int] | Non
     """Links (places in ``sets``) that join all sets which the threshold connects; a forest.
 
     ``labels``: sets with equal labels are known to be connected; links within a label are not returned.
+    ``sets`` is emptied.
     """
     count = len(sets)
     classes = Classes(count)
@@ -288,18 +289,22 @@ def linked_classes(sets: list[np.ndarray], sizes: Sizes, labels: list[int] | Non
     order = np.argsort(size, kind="stable")
     size = size[order]
     bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
-    _, inverse, seen = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True, return_counts=True)
+    joined = np.concatenate([sets[i] for i in order])
+    sets.clear()  # the caller's list: large cells need the room
+    _, inverse, seen = np.unique(joined, return_inverse=True, return_counts=True)
+    del joined
     by_count = np.argsort(seen, kind="stable")
     rank = np.empty(len(seen), np.int32)
     rank[by_count] = np.arange(len(seen), dtype=np.int32)
     tokens = rank[inverse.reshape(-1)]  # small ranks are rare in this cell
-    del inverse
+    del inverse, rank
     alone = int((seen == 1).sum())  # ranks below are in one set only
     least = -(-size * sizes.part // sizes.whole)
     prefix = size - least + 1
 
     # Index lists over the prefixes: entries by token, then by size, with their positions.
     mine = [np.sort(tokens[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    del tokens
     heads = [m[:p] for m, p in zip(mine, prefix, strict=True)]
     head = np.concatenate(heads)
     owner = np.repeat(np.arange(count), prefix)
@@ -360,7 +365,9 @@ def _solved(part: int, whole: int) -> Callable[[Iterable[pa.RecordBatch]], Itera
             at = list(seen.values())
             if len(at) > 1:
                 known = [labels[i] for i in at]
-                links = linked_classes([sets[i] for i in at], sizes, known)
+                picked = [sets[i] for i in at]
+                sets.clear()
+                links = linked_classes(picked, sizes, known)
                 out.extend((nodes[at[a]], nodes[at[b]]) for a, b in links)
 
         def batch_of(rows: list[tuple[int, int]]) -> pa.RecordBatch:
