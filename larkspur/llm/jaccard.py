@@ -4,9 +4,11 @@ Equal sets are one node, named by a 64-bit digest. Two steps find all links betw
 
 1. Families. Sets are cut into parts by the shingles' hashes, one part more than a linked pair can
    differ in shingles, so every linked pair has an equal part. Sizes are classes of the threshold's
-   ratio; a set writes the signatures of its parts for its own class and for the next. More parts than
-   one have to be equal, as there are some to spare: sets with too few common signatures are taken out.
-   Of the others, those with a common signature are in one family. Unrelated sets hardly ever are.
+   ratio; a set writes the signatures of its parts for its own class and for the next. Empty parts have
+   none, as they say nothing. From its size follows how many parts differ at most, so how many of its own
+   are equal in any linked set: sets with too few common signatures are taken out. A set with so few
+   parts that none has to be equal also writes its first shingles, which two linked sets of that kind
+   share. Of the others, those with a common signature are in one family. Unrelated sets hardly ever are.
 2. Set relations within a family. Index lists over each set's rarest shingles hold their entries by size
    and position, so a probe skips blocks whose positions leave too little to reach the threshold. What
    is left is checked exactly; once a set is linked to one highly similar set, the answers of that set
@@ -31,8 +33,9 @@ from pyspark.sql import functions as F
 from larkspur.llm.common import checkpointed, release, slices, stored
 from larkspur.llm.components import components
 
-#: Shingles and sets that a cell holds, about.
-CELL_SHINGLES = 8_000_000
+#: Shingles that a cell holds, about: at 80 bytes each 400 MB of a Python worker, as two share 1.2 GB beside the heap.
+CELL_SHINGLES = 5_000_000
+#: Sets that a cell holds, about. This bounds a task's time, as sets take little memory beside their shingles.
 CELL_SETS = 16_384
 #: How often sets with too few common signatures for any link are taken out.
 PRUNINGS = 2
@@ -159,14 +162,22 @@ class Sizes:
             self.class_of(self.lows[-1])
         return n * self.whole >= self.lows[c] * self.part
 
-    def parts(self, c: int) -> tuple[int, int]:
-        """How many parts a set of class ``c`` is cut into, and how many of a pair's equal parts may be
-        empty while a non-empty one is certain."""
+    def apart(self, n: int, c: int) -> int:
+        """The most shingles in which a set of ``n`` differs from a linked one, the larger of both in class ``c``."""
+        self.difference(c)  # knows the class beyond
+        largest = min(n * self.whole // self.part, self.lows[c + 1] - 1)
+        return (n + largest) * (self.whole - self.part) // (self.whole + self.part)
+
+    def parts(self, c: int) -> int:
+        """How many parts a set of class ``c`` is cut into."""
         most = self.difference(c)
         if most < 8:
-            return most + 1, 0
-        spare = 2 + (most // 10 if self.part * 10 < self.whole * 9 else 0)
-        return most + 1 + spare, spare
+            return most + 1
+        return most + 3 + (most // 10 if self.part * 10 < self.whole * 9 else 0)
+
+    def head(self, n: int) -> int:
+        """How many of a set's first shingles hold one of the first of any linked set."""
+        return n - -(-n * self.part // self.whole) + 1
 
     def overlap(self, a: np.ndarray | int, b: np.ndarray | int):
         """The least overlap of linked sets with these sizes."""
@@ -181,15 +192,18 @@ def signatures(shingles: np.ndarray, sizes: Sizes) -> list[tuple[int, int, np.nd
     for c in (own, own + 1) if sizes.reaches(len(shingles), own + 1) else (own,):
         if sizes.difference(c) == 0:
             continue  # linked sets of this class are equal
-        count, spare = sizes.parts(c)
+        count = sizes.parts(c)
         where = ((shingles >> U(40)) % U(count)).astype(np.int64)
         held = np.bincount(where, minlength=count)
         sums = np.zeros(count, U)
         np.add.at(sums, where, mix(shingles + BASE))
-        empty = int((held == 0).sum())
-        chosen = np.flatnonzero(held > 0) if empty <= spare else np.arange(count)
-        common = count - sizes.difference(c) - (count - len(chosen))
-        found.append((c, common, mix(mix(sums[chosen] + chosen.astype(U)) + U(c)).view(np.int64)))
+        filled = np.flatnonzero(held)
+        common = len(filled) - sizes.apart(len(shingles), c)
+        values = mix(sums[filled] + filled.astype(U))
+        if common < 1:  # a linked set has a common part if it has parts enough, else a common first shingle
+            common = 1
+            values = np.concatenate((values, mix(shingles[: sizes.head(len(shingles))] ^ BASE)))
+        found.append((c, common, mix(values + U(c)).view(np.int64)))
     return found
 
 

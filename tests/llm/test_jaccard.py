@@ -39,6 +39,33 @@ def test_linked_sets_share_a_signature():
                     assert max(both) >= 0
 
 
+def test_unrelated_sets_share_no_signature():
+    rng = np.random.default_rng(6)
+    for threshold in ((90, 100), (80, 100), (50, 100)):
+        sizes = jaccard.Sizes(*threshold)
+        for n in (*range(1, 60), *range(60, 600, 9)):
+            one, two = (np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for _ in range(2))
+            first, second = ({(c, x) for c, _, found in jaccard.signatures(s, sizes) for x in found.tolist()} for s in (one, two))
+            assert not first & second, (threshold, n)
+
+
+def test_every_linked_set_has_the_common_signatures_it_asks_for():
+    rng = np.random.default_rng(7)
+    for part, whole in ((90, 100), (80, 100), (50, 100)):
+        sizes = jaccard.Sizes(part, whole)
+        for n in (*range(1, 80), *range(80, 600, 23)):
+            shingles = rng.integers(0, 2**64, 2 * n + 2, dtype=np.uint64)
+            for m in {n, n * whole // part, (n + n * whole // part) // 2}:
+                both = int(sizes.overlap(n, m))
+                if both > n:
+                    continue
+                one, two = np.unique(shingles[:n]), np.unique(shingles[n - both : n - both + m])
+                a, b = ({c: (need, set(x.tolist())) for c, need, x in jaccard.signatures(s, sizes)} for s in (one, two))
+                c = sizes.class_of(m)
+                if sizes.difference(c) and not np.array_equal(one, two):
+                    assert len(a[c][1] & b[c][1]) >= max(a[c][0], b[c][0], 1), (part, n, m)
+
+
 @pytest.mark.parametrize(("width", "threshold"), SETTINGS)
 def test_classes_equal_brute_force(documents, width, threshold):
     texts = variants(2)
