@@ -40,7 +40,11 @@ DIGIT = re.compile(r"[0-9]")
 # Loose patterns.
 AT = r"\s?(?:\[at\]|\(at\)|\{at\}|\sat\s)\s?"
 DOT = r"\s?(?:\[dot\]|\(dot\)|\{dot\}|\sdot\s)\s?"
-HIDDEN_EMAIL = re.compile(rf"[A-Za-z0-9_%+-]+(?:(?:\.|{DOT})[A-Za-z0-9_%+-]+)*?{AT}[A-Za-z0-9-]+(?:(?:\.|{DOT})[A-Za-z0-9-]+)+", re.IGNORECASE)
+HIDDEN_AT = re.compile(AT, re.IGNORECASE)
+HIDDEN_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:(?:\.|{DOT})[A-Za-z0-9-]+)+", re.IGNORECASE)
+#: The run before the mark, read backwards.
+HIDDEN_LOCAL = re.compile(r"[A-Za-z0-9_%+-]+(?:(?:\.|\s?(?:\]tod\[|\)tod\(|\}tod\{|\stod\s)\s?)[A-Za-z0-9_%+-]+)*", re.IGNORECASE)
+HIDING = re.compile(r"[\[({]at[\])}]|[\[({]dot[\])}]|\sdot\s", re.IGNORECASE)
 LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{2,5}\) ?|00?[1-9][0-9]{1,3}[ /-])?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9.-])")
 IPV6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
 
@@ -164,16 +168,26 @@ def parts_of(text: str, kind: int, start: int, end: int) -> list[tuple[int, int,
     return found
 
 
+def hidden_emails(line: str) -> list[tuple[int, int]]:
+    """Obfuscated addresses of a line: from each mark, the domain after it and the run before it."""
+    found, done, back, size = [], 0, line[::-1], len(line)
+    mark = HIDDEN_AT.search(line)
+    while mark:
+        at = mark.start() + 1
+        after = HIDDEN_DOMAIN.match(line, mark.end())
+        before = HIDDEN_LOCAL.match(back, size - mark.start(), size - done) if after else None
+        if before and HIDING.search(line, size - before.end(), after.end()):
+            found.append((size - before.end(), after.end()))
+            at = done = after.end()
+        mark = HIDDEN_AT.search(line, at)
+    return found
+
+
 def loose_spans(text: str) -> list[tuple[int, int, int]]:
     found = []
-    lower = text if " dot " in text or "dot]" in text or "dot)" in text or "dot}" in text or "at]" in text or "at)" in text or "at}" in text else text.lower() if "DOT" in text or "AT]" in text or "AT)" in text else ""
-    if lower:
+    if HIDING.search(text):
         for line in re.finditer(r"[^\n]+", text):
-            for mark in re.finditer(AT, line[0], re.IGNORECASE):
-                a, b = max(0, mark.start() - 80), min(len(line[0]), mark.end() + 80)
-                m = HIDDEN_EMAIL.search(line[0], a, b)
-                if m and m.start() <= mark.start() and m.end() >= mark.end() and re.search(r"[\[({]at|[\[({]dot|\sdot\s", m[0], re.IGNORECASE):
-                    found.append((0, line.start() + m.start(), line.start() + m.end()))
+            found += [(0, line.start() + a, line.start() + b) for a, b in hidden_emails(line[0])]
     if DIGIT.search(text):
         if text.count(":") >= 7:
             found += [(1, m.start(), m.end()) for m in IPV6.finditer(text)]

@@ -43,6 +43,21 @@ def test_hidden_addresses_are_added_and_plain_numbers_are_not(weights):
     assert private.spans_of(clean, w) == []
 
 
+def test_all_hidden_addresses_of_a_line_are_found_whole():
+    long = "a" * 100 + " [at] " + "b" * 100 + ".com"
+    cases = {
+        "write to john [at] acme [dot] com or jane [at] acme [dot] com": ["john [at] acme [dot] com", "jane [at] acme [dot] com"],
+        "a(at)b.de, c.d (at) e dot org; f [At] g [Dot] net": ["a(at)b.de", "c.d (at) e dot org", "f [At] g [Dot] net"],
+        "x {AT} y {DOT} com and look at acme.com": ["x {AT} y {DOT} com"],
+        "to " + long + " now": [long],
+    }
+    for text, expected in cases.items():
+        for line in (text, "é\n" + text + "\nend"):
+            assert [line[a:b] for k, a, b in private.loose_spans(line) if k == 0] == expected
+    marks = "a [at] " * 30_000 + "a" * 200_000 + " dot a" * 30_000
+    assert [marks[a : a + 8] for _, a, _ in private.loose_spans(marks)] == ["a [at] a"]
+
+
 def test_reliabilities_order_good_and_bad_labelers():
     patterns = np.array([[0, 0, 0, 1, 1, 1, 1], [0, 2, 0, -1, -1, 1, -1], [0, 2, 0, 1, 1, -1, 1], [0, 2, 0, -1, -1, -1, -1]])
     posterior, tables = private.reliabilities(patterns, np.array([50.0, 50.0, 50.0, 50.0]))
