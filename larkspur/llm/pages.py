@@ -4,7 +4,9 @@ A page is read into a tree. Menus, headers, footers, sidebars, notices, adverts,
 comments are taken out by tag, role and class. Each paragraph then has points for its length and
 commas, and passes them to its ancestors, less the further away they are. A container's points are
 discounted by its link density. The best container is kept, with those of its siblings that have enough
-points of their own; where it lies in an article element, the whole article is kept.
+points of their own; where it lies in an article element, the whole article is kept. A form, or an element
+of such a class, is no menu or notice if it holds most of the page's article or paragraph text; where
+nothing is left, the page is read again without class words.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ CLOSED_BY = {
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}} | {t: {"table"} for t in ("tr", "td", "th", "tbody", "tfoot")}
 
 #: What never belongs to the article: by tag, role, and words of class and id.
-DROPPED = RAW | set("nav footer aside form button select input svg object canvas dialog menu head datalist audio video map math".split())
+DROPPED = RAW | set("nav footer aside button select input svg object canvas dialog menu head datalist audio video map math".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 NEGATIVE = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments discussion disqus reply "
@@ -181,33 +183,62 @@ class Page:
             stack.append(node)
             open_tags[tag] = open_tags.get(tag, 0) + 1
 
-    def unwanted(self, node: int, inside: bool) -> bool:
-        """Whether an element is taken out; ``inside``: it lies in an article."""
+    def unwanted(self, node: int, inside: bool, wraps: bool, by_class: bool) -> bool:
+        """Whether an element is taken out; ``inside``: it lies in an article, ``wraps``: it holds one."""
         tag, source = self.tags[node], self.attributes[node]
         if tag in DROPPED or (tag == "header" and not inside):
             return True
+        if tag == "form" and by_class and not wraps:
+            return True
         if len(source) < 3 or tag in ("html", "body", "article", "main", "#root"):
             return False
         words: set[str] = set()
         for name, *values in ATTRIBUTE.findall(source):
             value, name = "".join(values).lower(), name.lower()
-            if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+            if name == "role" and value in ROLES and not (value == "form" and (wraps or not by_class)) or name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
             if name in ("class", "id"):
                 words.update(WORDS.findall(value))
-        return bool(words & NEGATIVE) and not words & POSITIVE
+        return by_class and not wraps and bool(words & NEGATIVE) and not words & POSITIVE
+
+    def wrappers(self) -> list[bool]:
+        """Whether each element holds most of the text in article and main elements, or of the paragraphs' text
+        where those have none; dropped elements and links do not count."""
+        tags, parents = self.tags, self.parents
+        count = len(tags)
+        out, inside, prose = [False] * count, [False] * count, [False] * count
+        for n in range(1, count):
+            up = parents[n]
+            out[n] = out[up] or tags[n] == "a" or self.unwanted(n, True, True, False)
+            inside[n] = inside[up] or tags[n] in ("article", "main")
+            prose[n] = prose[up] or tags[n] in PARAGRAPHS
+        articles, paragraphs = [0] * count, [0] * count
+        for node, value in self.events:
+            if value and not out[node]:
+                size = len(value.strip())
+                articles[node] += size * inside[node]
+                paragraphs[node] += size * prose[node]
+        for n in range(count - 1, 0, -1):
+            articles[parents[n]] += articles[n]
+            paragraphs[parents[n]] += paragraphs[n]
+        held = articles if articles[0] else paragraphs
+        return [2 * h > held[0] for h in held]
 
     def main_text(self) -> str:
+        return self._main_text(True) or self._main_text(False)
+
+    def _main_text(self, by_class: bool) -> str:
         tags, parents = self.tags, self.parents
         count = len(tags)
         dropped, inside, linked = [False] * count, [False] * count, [False] * count
+        wraps = self.wrappers() if by_class else [False] * count
         for n in range(1, count):
             up = parents[n]
             inside[n] = inside[up] or tags[up] in ("article", "main")
             linked[n] = linked[up] or tags[n] == "a"
-            dropped[n] = dropped[up] or self.unwanted(n, inside[n])
+            dropped[n] = dropped[up] or self.unwanted(n, inside[n], wraps[n], by_class)
         own, commas, links, anchors = [0] * count, [0] * count, [0] * count, [0] * count
         for node, value in self.events:
             if value and not dropped[node]:

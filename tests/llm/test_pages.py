@@ -21,6 +21,20 @@ def test_article_without_article_element_keeps_good_siblings():
     assert text.count("Words of the story") == 8 and "Next" in text and "one" not in text
 
 
+def test_wrappers_of_the_whole_page_are_kept():
+    body = "<p>" + "Words of the story, with commas, go on and on. " * 4 + "</p>"
+    rest = "<div class=sidebar><p>Side, notes, of, the, site</p></div><form><p>Your, mail, please</p></form>"
+    for wrapper in ("div class='page has-sidebar'", "div id='layout-no-footer'", "form id='aspnetForm'", "form role=form"):
+        for inner in (f"<article>{body}{body}</article>", f"<div>{body}{body}</div>"):
+            tag = wrapper.split()[0]
+            text = main_text(f"<body><{wrapper}>{inner}{rest}</{tag}></body>")
+            assert text.count("Words of the story") == 8, (wrapper, inner)
+            assert "Side" not in text and ("Your" not in text or tag == "form")
+    comments = f"<section id=comments>{body}{body}{body}</section>"
+    assert main_text(f"<div class=has-sidebar><article><p>Short, but the story.</p></article>{comments}</div>") == "Short, but the story."
+    assert main_text("<div class=comment>Only this</div>") == "Only this"
+
+
 def test_odd_pages():
     cases = {None: "", "": "", "<": "<", "a<b": "a", "<p": "", "<!-- x": "", "plain & simple": "plain & simple", "<p>just text": "just text"}
     assert {k: main_text(k) for k in cases} == cases
