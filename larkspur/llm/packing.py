@@ -96,20 +96,31 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Callable[[str], list[int]]:
+def byte_tokens(path: str) -> list[bytes]:
+    """The bytes of every id of a byte-level file; those of added tokens are their text."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    alphabet = _byte_alphabet()
+    vocabulary = {i: bytes(map(alphabet.__getitem__, t)) if all(c in alphabet for c in t) else t.encode() for t, i in content["model"]["vocab"].items()}
+    vocabulary |= {t["id"]: t["content"].encode() for t in content.get("added_tokens", [])}
+    return [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)]
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str, special: bool = False) -> Callable[[str], list[int]]:
     """Ids of a text under a byte-level BPE file of the ``tokenizers`` library.
 
     Where merges are ranked by their ids, as in that vocabulary, ``tiktoken`` gives the same ids at
     six times the speed; other files, and texts that it can't take, are left to ``tokenizers``.
-    Strings of special tokens in a text are ordinary text.
+    Strings of special tokens in a text are ordinary text; with ``special``, they are those tokens, as
+    that library reads them by itself, and texts that hold one are left to it.
     """
     from tokenizers import Tokenizer
 
     @lru_cache(maxsize=1)
     def library() -> Tokenizer:
         made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
+        made.encode_special_tokens = not special
         return made
 
     def by_library(text: str) -> list[int]:
@@ -125,8 +136,8 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     ranked = made == sorted(made) and made[:1] != [-1]
     if content.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not ranked:
         return by_library
-    special = {t["content"] for t in content.get("added_tokens", [])}
-    ranks = {bytes(alphabet[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+    added = {t["content"] for t in content.get("added_tokens", [])}
+    ranks = {bytes(alphabet[c] for c in token): i for token, i in vocabulary.items() if token not in added}
 
     import public_tokenizers
     import tiktoken
@@ -134,6 +145,8 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     fast = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
+        if special and any(token in text for token in added):
+            return by_library(text)
         try:
             return fast.encode_ordinary(text)
         except (KeyboardInterrupt, SystemExit, MemoryError):
@@ -146,7 +159,7 @@ def encoder(path: str) -> Callable[[str], list[int]]:
 
 def _packed(path: str, capacity: int, end_id: int, piece: int, group: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = encoder(path, special=True)
         sequence = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []  # (doc_id, start, ids, doc_tokens)
         full: list[tuple] = []
@@ -226,7 +239,8 @@ def pack_documents(
     hold at most ``capacity`` ids. ``finish`` turns each Arrow batch of pieces into one of ``schema``
     where only figures of the ids are wanted.
 
-    A NULL or empty text is its end id alone. Repeated rows and repeated ids are packed like others, a
+    Ids are those of ``tokenizers`` without tokens of its own around a text: a special token's string inside
+    a text is that token. A NULL or empty text is its end id alone. Repeated rows and repeated ids are packed like others, a
     NULL ``doc_id`` stays NULL, an empty table gives no rows, and other columns are not read.
     """
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

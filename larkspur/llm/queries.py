@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, jaccard, language, mixing, nearest, packing, pages, private, quality, repeats
+from larkspur.llm import alignment, chat, debruijn, jaccard, language, merkle, mixing, nearest, packing, pages, private, quality, repeats
 from larkspur.llm.common import stored, table
 from larkspur.session import ship_package
 
@@ -29,10 +29,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op1_extract_pages")
@@ -150,3 +150,20 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
 def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op11_repeated_windows")
+def repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
+    found = debruijn.remove_repeats(table(spark, folder, "documents"), texts=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "n_spans")
+
+
+@query("op12_merkle_manifest", merkle.manifest_sql())
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents")).drop("proof")
+
+
+@query("op13_align_tokenizers")
+def align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return alignment.align_documents(docs, vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))

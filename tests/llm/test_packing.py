@@ -12,7 +12,6 @@ def slow():
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(vocabulary_path())
-    made.encode_special_tokens = True
     return lambda text: made.encode(text or "", add_special_tokens=False).ids
 
 
@@ -35,12 +34,14 @@ def test_windows_rise_where_pieces_do_not_fit():
 
 def test_encoder_equals_the_library(slow):
     texts = ["", " a  b\n\n c", "Ünïcode 😀 naïve", "<|endoftext|> x", "!!!  ???", "a" * 5000, " " * 3000, "don't we'll 123 456"]
-    encode = packing.encoder(vocabulary_path())
+    encode = packing.encoder(vocabulary_path(), special=True)
     assert [encode(t) for t in texts] == [slow(t) for t in texts]
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    assert 50256 not in packing.encoder(vocabulary_path())("a <|endoftext|> b")
 
 
 def test_every_id_lies_in_one_piece(documents, slow):
-    texts = [None, "", "one", "two words", "same", "same", "long text here " * 3000, *[f"some words {i} " * (i % 40) for i in range(120)]]
+    texts = [None, "", "one <|endoftext|>two", "two words", "same", "same", "long text here " * 3000, *[f"some words {i} " * (i % 40) for i in range(120)]]
     docs = documents(texts, ids=[*range(5), 4, *range(6, len(texts))]).withColumnRenamed("lang", "length")
     rows = packing.pack_documents(docs, vocabulary_path(), group=32).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
