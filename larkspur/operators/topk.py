@@ -24,6 +24,7 @@ QUERY_LIMIT = 4096
 QUERY_BYTES = 16 * 1024 * 1024
 CORPUS_BLOCK = 20_000
 SLAB_ROWS = 1024
+DIGITS = 6
 
 
 class _Best:
@@ -101,13 +102,16 @@ class _Ahead:
         return pa.table([pa.array(c) for c in (owner, ids, counts)], names=["query_id", "item_id", "score"])
 
 
-def _score_all(queries: pa.Table, items, make_scorer, item_id: str, make_kept) -> pa.Table:
+def _score_all(queries: pa.Table, items, make_scorer, item_id: str, make_kept, digits: int) -> pa.Table:
+    """Scores become whole numbers of the last digit at once: the last bits of a sum depend on how many
+    items a machine scores together, and equal items must tie wherever they lie."""
     scorer = make_scorer(queries)
     kept = make_kept(queries)
+    unit = 10.0**digits
     for table in items:
         for start in range(0, table.num_rows, SLAB_ROWS):
             slab = table.slice(start, SLAB_ROWS)
-            kept.add(slab.column(item_id).to_numpy(), scorer(slab))
+            kept.add(slab.column(item_id).to_numpy(), np.rint(scorer(slab) * unit))
     return kept.rows(queries.column("query_id").to_numpy())
 
 
@@ -117,22 +121,28 @@ def topk_join(
     make_scorer: Callable[[pa.Table], Scorer],
     k: int = 3,
     item_id: str = "doc_id",
-    digits: int = 6,
+    digits: int = DIGITS,
     **limits,
 ) -> DataFrame:
     """``query_id, item_id, score, rank`` with the k best items per query.
 
-    ``query_id`` and ``item_id`` are unique integers. Items are ranked by their exact scores, equal
-    ones by item id; what is returned is rounded to ``digits``.
+    ``query_id`` and ``item_id`` are unique integers. Items are ranked by their scores with ``digits``
+    decimals, equal ones by item id.
     """
     best = lambda table: _Best(table.num_rows, k)
-    partial = score_join(queries, corpus, make_scorer, best, item_id, **limits)
-    ranked = rank_hits(partial, k).withColumn("score", F.round("score", digits))
+    partial = score_join(queries, corpus, make_scorer, best, item_id, digits=digits, **limits)
+    ranked = rank_hits(partial, k).withColumn("score", F.round(F.col("score") / 10.0**digits, digits))
     return ranked.withColumnRenamed("item_id", item_id)
 
 
 def exact_ranks(
-    queries: DataFrame, corpus: DataFrame, make_scorer: Callable[[pa.Table], Scorer], wanted: DataFrame, item_id: str = "doc_id", **limits
+    queries: DataFrame,
+    corpus: DataFrame,
+    make_scorer: Callable[[pa.Table], Scorer],
+    wanted: DataFrame,
+    item_id: str = "doc_id",
+    digits: int = DIGITS,
+    **limits,
 ) -> DataFrame:
     """``query_id, <item_id>, rank`` of the pairs in ``wanted`` among all items; pairs that are no hit are left out.
 
@@ -140,6 +150,7 @@ def exact_ranks(
     leave a task. ``wanted`` is bounded per query.
     """
     listed = wanted.groupBy("query_id").agg(F.sort_array(F.collect_set(item_id)).alias("candidates"))
+    limits["digits"] = digits
     scored = score_join(queries.join(listed, "query_id"), corpus, make_scorer, _Listed, item_id, **limits)
     entry = F.sort_array(F.collect_list(F.struct("item_id", "score")))
     bars = scored.groupBy("query_id").agg(entry.alias("e")).select("query_id", F.col("e.item_id").alias("candidates"), F.col("e.score").alias("bars"))
@@ -155,9 +166,12 @@ def score_join(
     item_id: str = "doc_id",
     query_limit: int = QUERY_LIMIT,
     corpus_block: int = CORPUS_BLOCK,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """``query_id, item_id, score`` as kept by each task from its items' scores for all queries.
 
+    Scores are whole numbers, in units of the last of ``digits`` decimals.
+
     ``make_kept`` takes the queries and returns what adds up items (``add``) and gives rows (``rows``).
     The size of the queries is measured where they are; only small ones are fetched to ride along.
     """
@@ -171,7 +185,7 @@ def score_join(
             if shared.value.num_rows == 0:
                 return
             tables = (pa.Table.from_batches([b]) for b in batches)
-            found = _score_all(shared.value, tables, make_scorer, item_id, make_kept)
+            found = _score_all(shared.value, tables, make_scorer, item_id, make_kept, digits)
             yield from found.to_batches()
 
         partial = corpus.mapInArrow(scan, schema)
@@ -193,7 +207,7 @@ def score_join(
                     {"query_id": pa.array([], pa.int64()), "item_id": pa.array([], pa.int64()),
                      "score": pa.array([], pa.float64())}
                 )
-            return _score_all(query_block, [corpus_part], make_scorer, item_id, make_kept)
+            return _score_all(query_block, [corpus_part], make_scorer, item_id, make_kept, digits)
 
         keys = ["__qb", "__cb"]
         partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)

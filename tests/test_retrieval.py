@@ -81,6 +81,22 @@ def test_bm25_equals_brute_force_either_way(spark, limits, piece, monkeypatch):
     assert hits(found) == bm25(asked, texts)
 
 
+def test_hybrid_ranks_do_not_depend_on_the_partitions(spark):
+    """Copies of a text and a vector tie wherever they lie, and come in the order of their ids."""
+    rng = random.Random(5)
+    pool = [f"w{i}" for i in range(12)]
+    kinds = [(" ".join(rng.choices(pool, k=rng.randint(3, 30))), [rng.uniform(-1, 1) for _ in range(64)]) for _ in range(40)]
+    items = [(i, *kinds[i % 40]) for i in range(400)]
+    asked = [(i, " ".join(rng.choices(pool, k=5)), [rng.uniform(-1, 1) for _ in range(64)]) for i in range(7)]
+    corpus = spark.createDataFrame(items, "doc_id long, text string, embedding array<double>")
+    queries = spark.createDataFrame(asked, "query_id long, text string, embedding array<double>")
+    found = [
+        sorted(tuple(r) for r in retrieval.hybrid_topk(queries, corpus.repartition(n, "doc_id"), k=5, **limits).collect())
+        for n, limits in ((1, {}), (3, {}), (8, {}), (3, {"query_limit": 3, "corpus_block": 50}))
+    ]
+    assert found[0] == found[1] == found[2] == found[3]
+
+
 def test_no_queries_give_no_hits(spark):
     texts = spark.createDataFrame([(1, "a")], TEXTS)
     assert retrieval.bm25_topk(spark.createDataFrame([], ASKED), texts).count() == 0
