@@ -6,7 +6,7 @@ parent. Levels follow until each group has one node left, its subroot; subroots
 climb in the same way to the root. Proofs come down again: a node's proof is its siblings and its parent's.
 
 No window holds a whole group: numbers come from ranges of rows whose sizes are added up first, and
-siblings are found within blocks of ``FANOUT ** 4`` neighbours.
+siblings are found within blocks of ``FANOUT ** 2`` neighbours.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def with_siblings(nodes: DataFrame, fanout: int) -> DataFrame:
     """Add the digests of the siblings before and after each node of (grp, position, size, digest)."""
     slot = F.col("position") % fanout
     run = F.least(F.lit(fanout), F.col("size") - (F.col("position") - slot))
-    block = F.floor(F.col("position") / fanout**4)
+    block = F.floor(F.col("position") / fanout**2)
     order = Window.partitionBy("grp", block).orderBy("position")
 
     def masked(inside: Column, sibling: Column) -> Column:
