@@ -7,19 +7,21 @@ the averaging operators take as they are.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.operators.boosting import LeafwiseBoosting, Settings
+from larkspur.operators.network import AdamNetwork
 from larkspur.session import shared_folder
 
 SEED = 42
@@ -64,34 +66,26 @@ def total_weight(train: DataFrame, weight: str | None = "weight") -> float:
     return float(train.agg(value.alias("w")).first()["w"])
 
 
-def deep_boosting(
-    label: str = "churn", weight: str = "weight", rounds: int = 120, depth: int = 8, **params
-) -> Estimator:
-    """Boosted deep trees on a feature sample (per node; spark.ml has no leaf limit)."""
-    settings = {"stepSize": 0.01, "featureSubsetStrategy": "0.8", "seed": SEED, **params}
-    return GBTClassifier(
-        labelCol=label, weightCol=weight, maxIter=rounds, maxDepth=depth, **settings
-    )
+def deep_boosting(label: str = "churn", weight: str | None = "weight", rounds: int = 120, depth: int | None = 8, leaves: int = 34, **more) -> Estimator:
+    """Boosted deep trees with few leaves, each on four fifths of the features."""
+    settings = {"rate": 0.01, "column_share": 0.8, "least_rows": 20, "seed": SEED, **more}
+    return LeafwiseBoosting(Settings(rounds, leaves, depth, **settings), label, weight)
 
 
-def fold_boosting(
-    label: str = "churn", weight: str = "weight", rounds: int = 140, depth: int = 10, **params
-) -> Estimator:
+def fold_boosting(label: str = "churn", weight: str | None = "weight", rounds: int = 140, depth: int | None = 10, leaves: int = 52, **more) -> Estimator:
     """The boosted model of the cross-validation runs."""
-    settings = {"stepSize": 0.01, "seed": SEED, **params}
-    return GBTClassifier(
-        labelCol=label, weightCol=weight, maxIter=rounds, maxDepth=depth, **settings
-    )
+    return deep_boosting(label, weight, rounds, depth, leaves, **{"column_share": 1.0, **more})
 
 
-def shallow_boosting(
-    label: str = "churn", weight: str = "weight", rounds: int = 700, depth: int = 4, **params
-) -> Estimator:
-    """Many boosted shallow trees (spark.ml has no L1 or L2 penalty on leaves)."""
-    settings = {"stepSize": 0.01, "seed": SEED, **params}
-    return GBTClassifier(
-        labelCol=label, weightCol=weight, maxIter=rounds, maxDepth=depth, **settings
-    )
+def wide_boosting(label: str = "churn", weight: str | None = "weight", rounds: int = 300, depth: int | None = None, leaves: int = 100, **more) -> Estimator:
+    """The boosted model of the oversampled rows: many leaves, no limit of depth."""
+    return deep_boosting(label, weight, rounds, depth, leaves, **{"column_share": 1.0, **more})
+
+
+def shallow_boosting(label: str = "churn", weight: str | None = "weight", rounds: int = 700, depth: int = 4, **more) -> Estimator:
+    """Many boosted shallow trees with penalised leaf weights."""
+    settings = {"rate": 0.01, "l1": 0.1, "l2": 1.0, "least_hessian": 1.0, "seed": SEED, **more}
+    return LeafwiseBoosting(Settings(rounds, 2**depth, depth, **settings), label, weight)
 
 
 def random_forest(
@@ -113,14 +107,9 @@ def decision_tree(label: str = "churn", depth: int = MAX_DEPTH, **params) -> Est
     return DecisionTreeClassifier(labelCol=label, maxDepth=depth, **{"seed": SEED, **params})
 
 
-def neural_network(
-    inputs: int, label: str = "churn", hidden: Sequence[int] = (64, 32), max_iter: int = 1000, **params
-) -> Estimator:
-    """Feed-forward net with two hidden layers (sigmoid units, L-BFGS); feed it scaled features."""
-    layers = [inputs, *hidden, 2]
-    return MultilayerPerceptronClassifier(
-        labelCol=label, layers=layers, maxIter=max_iter, **{"seed": SEED, **params}
-    )
+def neural_network(label: str = "churn", hidden: Sequence[int] = (64, 32), epochs: int = 1000, rate: float = 0.01, **more) -> Estimator:
+    """Feed-forward net with two hidden ReLU layers, trained by Adam; feed it scaled features."""
+    return AdamNetwork(hidden, epochs, rate, label, **{"seed": SEED, **more})
 
 
 def score_table(
@@ -164,14 +153,19 @@ def out_of_fold_scores(
 ) -> DataFrame:
     """Every row scored by the model of the fold that did not see it, exactly once.
 
-    ``rows`` carry ``fold``. Encoder and model are fitted per fold, on the other folds.
+    ``rows`` carry ``fold``. Encoder and model are fitted per fold, on the other folds; folds are fitted side by
+    side, as their passes leave cores idle.
     """
     shared_folder(rows.sparkSession)
-    parts = []
-    for fold in range(folds):
+    rows = rows.checkpoint()
+
+    def scored(fold: int) -> DataFrame:
         train, held_out = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
         fitted = Pipeline(stages=[encoder, estimator]).fit(train)
-        parts.append(score_table(fitted, held_out, name, key, label))
+        return score_table(fitted, held_out, name, key, label)
+
+    with ThreadPoolExecutor(folds) as pool:
+        parts = list(pool.map(inheritable_thread_target(rows.sparkSession)(scored), range(folds)))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)

@@ -1,26 +1,31 @@
 """Encoder and model runs on the snapshot view of the customers.
 
-Training is iterative, so SQL cannot restate it; the encoder before it and the averaging, threshold
-and metric steps after it are checked by SQL elsewhere. Boosting rounds and tree numbers are kept
-low here, because a check should take seconds; the library defaults are the reported settings.
+Training is iterative, so SQL cannot restate it; the encoder before it and the averaging, threshold and metric
+steps after it are checked by SQL elsewhere, and ``*_checks`` hold what must be true of each trained model.
+All models are trained with the reported settings, which are the library's defaults. A session trains each
+model once for a folder and keeps it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
+from pyspark.ml import Model, Transformer
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from larkspur.operators import encoding, features, metrics, models, sampling
+from larkspur.operators.boosting import LeafwiseBoosting
 from larkspur.operators.oversample import oversample
 from larkspur.plans.churn import AGE_RANK_SQL, CHURN_DATE, CHURN_SQL, churn_view, hash_sql, snapshot_view
-from larkspur.plans.oversampling import FEATURES
 from larkspur.plans.registry import query
 from larkspur.session import shared_folder
 
-ROUNDS = 10
-TREES = 20
-FOREST_DEPTH = 12
-EPOCHS = 60
+#: Fitted models by session, folder and name, with the encoder they need.
+MODELS: dict[tuple[str, str, str], tuple[Transformer, Model]] = {}
 
 PASSTHROUGH = [
     "credit_score",
@@ -62,13 +67,87 @@ def _encoder(scaler=None):
     return encoding.feature_pipeline(PASSTHROUGH, scaler=scaler)
 
 
+def _filled(rows):
+    """Ratios without a value as 0, for models that can't take missing values."""
+    return rows.na.fill(0.0)
+
+
 def _prepared(spark, folder, weigh, scaler=None):
     """Encoded train, validation and test rows, ``features`` fitted on the training rows."""
-    train, valid, test = (part.na.fill(0.0) for part in _parts(spark, folder))
+    train, valid, test = map(_filled, _parts(spark, folder))
     fitted = _encoder(scaler).fit(train)
     return fitted.transform(weigh(train)), fitted.transform(valid), fitted.transform(test)
 
 
+def _fitted(spark, folder, name: str, fit: Callable) -> tuple[Transformer, Model]:
+    key = spark.sparkContext.applicationId, folder, name
+    if key not in MODELS:
+        MODELS[key] = fit(spark, folder)
+    return MODELS[key]
+
+
+def _boosted(estimator, weigh):
+    """Encoder and model; boosted trees take ratios without a value as missing."""
+
+    def fit(spark, folder):
+        train = _parts(spark, folder)[0]
+        encoder = _encoder().fit(train)
+        return encoder, estimator.fit(encoder.transform(weigh(train)))
+
+    return fit
+
+
+def _oversampled(spark, folder):
+    """The whole encoded matrix of the training rows, oversampled, with balanced weights, and its encoder."""
+    train = _filled(_parts(spark, folder)[0])
+    encoder = _encoder().fit(train)
+    encoded = encoder.transform(train)
+    names = [f"x{i}" for i in range(encoding.feature_count(encoded))]
+    values = encoded.select("customer_id", "churn", vector_to_array("features").alias("x"))
+    flat = values.select("customer_id", "churn", *[F.get("x", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    balanced = sampling.add_balanced_weight(oversample(flat, names, "customer_id"))
+    return encoder, VectorAssembler(inputCols=names, outputCol="features").transform(balanced).checkpoint()
+
+
+def _on_oversampled(estimator):
+    def fit(spark, folder):
+        encoder, rows = _oversampled(spark, folder)
+        return encoder, estimator.fit(rows)
+
+    return fit
+
+
+def _network(spark, folder):
+    train = _filled(_parts(spark, folder)[0])
+    encoder = _encoder("standard").fit(train)
+    return encoder, models.neural_network().fit(encoder.transform(train))
+
+
+def _models() -> dict[str, Callable]:
+    return {
+        "deep_boosting": _boosted(models.deep_boosting(), _deep_weight),
+        "shallow_boosting": _boosted(models.shallow_boosting(), _shallow_weight),
+        "wide_boosting": _on_oversampled(models.wide_boosting()),
+        "random_forest": _on_oversampled(models.random_forest()),
+        "neural_network": _network,
+    }
+
+
+#: Models that take missing values as such.
+BOOSTED = ("deep_boosting", "shallow_boosting")
+
+
+def _model(spark, folder, name):
+    return _fitted(spark, folder, name, lambda *where: _models()[name](*where))
+
+
+def _scores(spark, folder, name, part):
+    """Score table of the validation (1) or test (2) rows."""
+    encoder, model = _model(spark, folder, name)
+    rows = _parts(spark, folder)[part]
+    return models.score_table(model, encoder.transform(rows if name in BOOSTED else _filled(rows)), name)
+
+
 def _unweighted(rows):
     return rows
 
@@ -127,27 +206,26 @@ def final_logistic_predictions(spark, folder):
 
 @query("deep_boosting_scores")
 def deep_boosting_scores(spark, folder):
-    train, valid, _ = _prepared(spark, folder, _deep_weight)
-    model = models.deep_boosting(rounds=ROUNDS).fit(train)
-    return _rounded(models.score_table(model, valid, "deep_boosting"))
+    """120 rounds of trees with 34 leaves, validation scores."""
+    return _rounded(_scores(spark, folder, "deep_boosting", 1))
 
 
 @query("shallow_boosting_scores")
 def shallow_boosting_scores(spark, folder):
-    train, valid, _ = _prepared(spark, folder, _shallow_weight)
-    model = models.shallow_boosting(rounds=ROUNDS).fit(train)
-    return _rounded(models.score_table(model, valid, "shallow_boosting"))
+    """700 rounds of trees of depth 4 with penalised leaves, validation scores."""
+    return _rounded(_scores(spark, folder, "shallow_boosting", 1))
+
+
+@query("oversampled_boosting_scores")
+def oversampled_boosting_scores(spark, folder):
+    """300 rounds of trees with 100 leaves on the oversampled encoded matrix, validation scores."""
+    return _rounded(_scores(spark, folder, "wide_boosting", 1))
 
 
 @query("random_forest_scores")
 def random_forest_scores(spark, folder):
-    """Random forest trained on oversampled numeric features."""
-    train, valid, _ = _parts(spark, folder)
-    shared_folder(spark)
-    balanced = sampling.add_balanced_weight(oversample(train, FEATURES, "customer_id")).checkpoint()
-    fitted = encoding.feature_pipeline(FEATURES, {}, {}).fit(balanced)
-    model = models.random_forest(trees=TREES, depth=FOREST_DEPTH).fit(fitted.transform(balanced))
-    return _rounded(models.score_table(model, fitted.transform(valid), "random_forest"))
+    """1,000 full trees on the oversampled encoded matrix, validation scores."""
+    return _rounded(_scores(spark, folder, "random_forest", 1))
 
 
 @query("decision_tree_scores")
@@ -159,50 +237,36 @@ def decision_tree_scores(spark, folder):
 
 @query("neural_network_scores")
 def neural_network_scores(spark, folder):
-    train, valid, _ = _prepared(spark, folder, _unweighted, scaler="standard")
-    model = models.neural_network(encoding.feature_count(train), max_iter=EPOCHS).fit(train)
-    return _rounded(models.score_table(model, valid, "neural_network"))
+    """1,000 epochs on scaled features, validation scores."""
+    return _rounded(_scores(spark, folder, "neural_network", 1))
 
 
 @query("out_of_fold_scores")
 def out_of_fold_scores(spark, folder):
     """Five folds over the training rows; every row is scored once, by the fold it was kept from."""
     train, _, _ = _parts(spark, folder)
-    rows = sampling.assign_fold(_deep_weight(train.na.fill(0.0)), "customer_id")
-    estimator = models.fold_boosting(rounds=3, depth=5)
-    scores = models.out_of_fold_scores(rows, _encoder(), estimator, sampling.FOLDS, "folds")
+    rows = sampling.assign_fold(_deep_weight(train), "customer_id")
+    scores = models.out_of_fold_scores(rows, _encoder(), models.fold_boosting(), sampling.FOLDS, "folds")
     return features.add_prediction(_rounded(scores), models.FOLD_THRESHOLD)
 
 
-def _ensemble(spark, folder):
-    """Soft vote of the two boosted models on validation and test rows, as two score tables."""
-    train, valid, test = (part.na.fill(0.0) for part in _parts(spark, folder))
-    encoder = _encoder().fit(train)
-    deep = models.deep_boosting(rounds=ROUNDS).fit(encoder.transform(_deep_weight(train)))
-    shallow = models.shallow_boosting(rounds=ROUNDS).fit(encoder.transform(_shallow_weight(train)))
-    voted = []
-    for part in (valid, test):
-        rows = encoder.transform(part)
-        both = models.score_table(deep, rows, "deep_boosting").unionByName(
-            models.score_table(shallow, rows, "shallow_boosting")
-        )
-        voted.append(models.soft_vote_scores(both))
-    return voted
+def _ensemble(spark, folder, part):
+    """Soft vote of the two boosted models on the validation (1) or test (2) rows."""
+    deep, shallow = (_scores(spark, folder, name, part) for name in BOOSTED)
+    return models.soft_vote_scores(deep.unionByName(shallow))
 
 
 @query("ensemble_thresholds")
 def ensemble_thresholds(spark, folder):
     """Threshold comparison of the soft vote on the validation rows."""
-    valid, _ = _ensemble(spark, folder)
-    table = metrics.threshold_table(valid)
+    table = metrics.threshold_table(_ensemble(spark, folder, 1))
     return table.withColumns({name: F.round(name, 4) for name in metrics.RATES})
 
 
 @query("ensemble_summary")
 def ensemble_summary(spark, folder):
     """Summary of the soft vote on the test rows at the tuned threshold."""
-    _, test = _ensemble(spark, folder)
-    return metrics.summary_report(test, models.ENSEMBLE_THRESHOLD)
+    return metrics.summary_report(_ensemble(spark, folder, 2), models.ENSEMBLE_THRESHOLD)
 
 
 LABEL_SQL = f"""WITH labels AS (SELECT c_custkey, coalesce(max(o_orderdate) < TIMESTAMP '{CHURN_DATE}', true) AS churned,
@@ -261,3 +325,74 @@ def final_logistic_checks(spark, folder):
     both = models.predictions(model, test).join(models.score_table(model, test, "final").select("row_id", "score"), "row_id")
     agrees = F.col("pred") == (F.col("score") > 0.5).cast("int")
     return both.agg(F.count("*").alias("rows"), F.sum("label").cast("long").alias("positives"), F.count_if(agrees).alias("agreeing"))
+
+
+def _trained_sql(part: str, **facts: str) -> str:
+    """What must be true of a trained model: its rows by SQL, ``facts`` as stated."""
+    rest = "".join(f", {value} AS {name}" for name, value in facts.items())
+    return LABEL_SQL + f" SELECT count(*) AS scored_rows, count(*) FILTER (churned) AS scored_positives, true AS in_range{rest} FROM labels WHERE split = '{part}'"
+
+
+def _trained(scores, **facts):
+    return scores.agg(
+        F.count("*").alias("scored_rows"),
+        F.sum("label").cast("long").alias("scored_positives"),
+        F.min(F.col("score").between(0, 1)).alias("in_range"),
+        *[(value if isinstance(value, Column) else F.lit(value)).alias(name) for name, value in facts.items()],
+    )
+
+
+def _boosted_checks(spark, folder, name, weigh):
+    """Limits of the trees, falling loss, the first tree's leaf weights against sums of its rows, and whether trees
+    grown pass by pass are those that one task grows."""
+    encoder, model = _model(spark, folder, name)
+    settings, share = model.settings, 1 / (1 + 2.718281828459045 ** -model.base)
+    rows = encoder.transform(weigh(_parts(spark, folder)[0]))
+    passes = LeafwiseBoosting(replace(settings, rounds=3), weight="weight", one_task_cells=0).fit(rows)
+    sums = rows.groupBy(model.leaf(0).alias("leaf")).agg(
+        F.sum(F.col("weight") * (share - F.col("churn"))).alias("g"), F.sum(F.col("weight") * share * (1 - share)).alias("h")
+    )
+    shrunk = F.signum("g") * F.greatest(F.abs("g") - settings.l1, F.lit(0.0))
+    weight = F.get(F.array(*[F.lit(v) for v in model.trees[0].value]), F.col("leaf").cast("int"))
+    off = sums.agg(F.max(F.abs(weight + settings.rate * shrunk / (F.col("h") + settings.l2))).alias("off")).first()["off"]
+    return _trained(
+        _scores(spark, folder, name, 1),
+        rounds=len(model.trees),
+        within_limits=all(t.leaves <= settings.leaves and t.depth <= settings.depth for t in model.trees),
+        loss_falls=all(b < a for a, b in zip(model.losses, model.losses[1:])),
+        leaf_weights=off < 1e-6,
+        same_by_passes=passes.trees == model.trees[:3],
+    )
+
+
+BOOSTING_FACTS = {"within_limits": "true", "loss_falls": "true", "leaf_weights": "true", "same_by_passes": "true"}
+
+
+@query("deep_boosting_checks", _trained_sql("valid", rounds="120", **BOOSTING_FACTS))
+def deep_boosting_checks(spark, folder):
+    return _boosted_checks(spark, folder, "deep_boosting", _deep_weight)
+
+
+@query("shallow_boosting_checks", _trained_sql("valid", rounds="700", **BOOSTING_FACTS))
+def shallow_boosting_checks(spark, folder):
+    return _boosted_checks(spark, folder, "shallow_boosting", _shallow_weight)
+
+
+@query("random_forest_checks", _trained_sql("valid", trees="1000"))
+def random_forest_checks(spark, folder):
+    return _trained(_scores(spark, folder, "random_forest", 1), trees=_model(spark, folder, "random_forest")[1].getNumTrees)
+
+
+@query("neural_network_checks", _trained_sql("valid", epochs="1000", loss_fell="true"))
+def neural_network_checks(spark, folder):
+    losses = _model(spark, folder, "neural_network")[1].losses
+    return _trained(_scores(spark, folder, "neural_network", 1), epochs=len(losses), loss_fell=losses[-1] < losses[0])
+
+
+@query("ensemble_checks", _trained_sql("test", means="count(*)"))
+def ensemble_checks(spark, folder):
+    """The soft vote against the mean of its two members."""
+    deep, shallow = (_scores(spark, folder, name, 2).select("row_id", F.col("score").alias(name)) for name in BOOSTED)
+    both = _ensemble(spark, folder, 2).join(deep, "row_id").join(shallow, "row_id")
+    mean = (F.col(BOOSTED[0]) + F.col(BOOSTED[1])) / 2
+    return _trained(both, means=F.count_if(F.abs(F.col("score") - mean) < 1e-12))

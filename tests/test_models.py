@@ -37,10 +37,11 @@ CASES = {
     "deep": lambda: models.deep_boosting(rounds=5, depth=4),
     "fold": lambda: models.fold_boosting(rounds=3, depth=4),
     "shallow": lambda: models.shallow_boosting(rounds=5),
+    "wide": lambda: models.wide_boosting(rounds=5),
     "forest": lambda: models.random_forest(trees=10, depth=8),
     "tree": lambda: models.decision_tree(depth=8),
     "logistic": lambda: models.logistic_regression(N),
-    "net": lambda: models.neural_network(6, max_iter=60),
+    "net": lambda: models.neural_network(epochs=60),
 }
 
 
@@ -61,13 +62,15 @@ def test_penalty_follows_total_weight(customers):
 
 
 def test_reported_settings_are_the_defaults():
-    deep, shallow = models.deep_boosting(), models.shallow_boosting()
-    assert (deep.getMaxIter(), deep.getMaxDepth(), deep.getStepSize()) == (120, 8, 0.01)
-    assert deep.getFeatureSubsetStrategy() == "0.8"
-    assert (shallow.getMaxIter(), shallow.getMaxDepth()) == (700, 4)
+    deep, shallow, wide, fold = (m.settings for m in (models.deep_boosting(), models.shallow_boosting(), models.wide_boosting(), models.fold_boosting()))
+    assert (deep.rounds, deep.depth, deep.leaves, deep.rate, deep.column_share) == (120, 8, 34, 0.01, 0.8)
+    assert (shallow.rounds, shallow.depth, shallow.leaves, shallow.l1, shallow.l2) == (700, 4, 16, 0.1, 1.0)
+    assert (wide.rounds, wide.depth, wide.leaves, fold.rounds, fold.depth, fold.leaves) == (300, None, 100, 140, 10, 52)
     with pytest.raises(ValueError):
         models.random_forest(depth=40)
-    assert models.neural_network(9).getLayers() == [9, 64, 32, 2]
+    assert models.random_forest().getNumTrees() == 1000
+    net = models.neural_network()
+    assert (net.hidden, net.epochs, net.rate) == ((64, 32), 1000, 0.01)
 
 
 def test_every_row_gets_one_out_of_fold_score(customers):
