@@ -5,14 +5,15 @@ comments are taken out by tag, role and class. Each paragraph then has points fo
 commas, and passes them to its ancestors, less the further away they are. A container's points are
 discounted by its link density. The best container is kept, with those of its siblings that have enough
 points of their own; where it lies in an article element, the whole article is kept. A form, or an element
-of such a class, is no menu or notice if it holds most of the page's article or paragraph text; where
-nothing is left, the page is read again without class words.
+whose class only hints at a frame of the page, stays if it holds the page's prose; comments, sidebars, notices
+and the like never do, whatever they hold, so a page of nothing else is empty.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -46,12 +47,17 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"se
 #: What never belongs to the article: by tag, role, and words of class and id.
 DROPPED = RAW | set("nav footer aside button select input svg object canvas dialog menu head datalist audio video map math".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-NEGATIVE = set(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments discussion disqus reply "
-    "replies respond sidebar side aside menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer header masthead banner "
-    "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
-    "share sharing social related recommended recommendations widget toolbar skip legal copyright".split()
+NEVER = set(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored comment comments discussion disqus reply replies respond "
+    "sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer cookie cookies consent gdpr notice notices "
+    "notification alert popup modal newsletter subscribe subscription related recommended recommendations".split()
 )
+#: Words that frames of whole pages have too.
+DOUBTFUL = set("promo promotion side aside header masthead banner overlay signup login share sharing social widget toolbar skip legal copyright".split())
+#: In one name with these, a word says what else the page has or hasn't (has-sidebar).
+ABOUT = set("has no with without not".split())
+#: Characters of prose from which a page without article element has some.
+LEAST_PROSE = 200
 POSITIVE = set("article content main post entry story body text hentry".split())
 PARAGRAPHS = set("p pre blockquote td dd li".split())
 HEADINGS = {"h1", "h2", "h3"}
@@ -75,17 +81,23 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack = [0]
-        open_tags: dict[str, int] = {}
+        where: dict[str, list[int]] = {}  # places in the stack by tag
+        block_at = [0]  # places of blocks in the stack
         tags, parents, events = self.tags, self.parents, self.events
         last = {q: source.rfind(q) for q in "\"'>"}
         gone: set[str] = set()
         at, size = 0, len(source)
 
+        def top(names: Iterable[str]) -> int:
+            """The highest place of any of these tags, 0 for none."""
+            return max((where[name][-1] for name in names if where.get(name)), default=0)
+
         def close(to: int) -> None:
             while len(stack) > to:
                 node = stack.pop()
-                open_tags[tags[node]] -= 1
+                where[tags[node]].pop()
                 if tags[node] in BLOCKS:
+                    block_at.pop()
                     events.append((stack[-1], None))
 
         def text(value: str) -> None:
@@ -136,32 +148,21 @@ class Page:
                 continue
             tag = mark[1].lower()
             if source[begin + 1] == "/":
-                if tag == "p" and not open_tags.get("p"):
-                    continue
-                if open_tags.get(tag):
-                    k = len(stack) - 1
-                    block = tag in BLOCKS
-                    while tags[stack[k]] != tag and (block or tags[stack[k]] not in BLOCKS):
-                        k -= 1
-                    if tags[stack[k]] == tag:
-                        close(k)
+                k = top((tag,))
+                # An inline element does not end beyond the block that it is closed in.
+                if k and (tag in BLOCKS or block_at[-1] < k):
+                    close(k)
                 continue
             if tag in BLOCKS:
-                if open_tags.get("p") and tag not in ("html", "body", "head", "option", "optgroup"):
-                    k = len(stack) - 1
-                    while k and tags[stack[k]] != "p" and tags[stack[k]] not in ("td", "th", "table", "button", "caption"):
-                        k -= 1
-                    if tags[stack[k]] == "p":
+                if tag not in ("html", "body", "head", "option", "optgroup"):
+                    k = top(("p",))
+                    if k > top(("td", "th", "table", "button", "caption")):
                         close(k)
-                ends = CLOSED_BY.get(tag)
-                if ends and any(open_tags.get(t) for t in ends):
-                    k, found = len(stack) - 1, -1
-                    while k and tags[stack[k]] not in SCOPES[tag]:
-                        if tags[stack[k]] in ends:
-                            found = k
-                        k -= 1
-                    if found > 0:
-                        close(found)
+                if ends := CLOSED_BY.get(tag):
+                    scope = top(SCOPES[tag])
+                    found = [held[i] for t in ends if (held := where.get(t)) and (i := bisect_right(held, scope)) < len(held)]
+                    if found:
+                        close(min(found))
                 events.append((stack[-1], None))
             elif tag == "br":
                 text(" ")
@@ -180,65 +181,85 @@ class Page:
                 else:
                     gone.add(tag)
                 continue
+            where.setdefault(tag, []).append(len(stack))
+            if tag in BLOCKS:
+                block_at.append(len(stack))
             stack.append(node)
-            open_tags[tag] = open_tags.get(tag, 0) + 1
 
-    def unwanted(self, node: int, inside: bool, wraps: bool, by_class: bool) -> bool:
-        """Whether an element is taken out; ``inside``: it lies in an article, ``wraps``: it holds one."""
+    def named(self, node: int) -> str | None:
+        """``never`` or ``doubtful`` where an element's class, id or role says that it is no part of an article."""
         tag, source = self.tags[node], self.attributes[node]
-        if tag in DROPPED or (tag == "header" and not inside):
-            return True
-        if tag == "form" and by_class and not wraps:
-            return True
-        if len(source) < 3 or tag in ("html", "body", "article", "main", "#root"):
-            return False
-        words: set[str] = set()
+        if len(source) < 3 or tag in ("html", "body", "main", "#root"):
+            return None
+        found, positive = None, False
         for name, *values in ATTRIBUTE.findall(source):
             value, name = "".join(values).lower(), name.lower()
-            if name == "role" and value in ROLES and not (value == "form" and (wraps or not by_class)) or name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-            if name in ("class", "id"):
-                words.update(WORDS.findall(value))
-        return by_class and not wraps and bool(words & NEGATIVE) and not words & POSITIVE
+            if name == "role" and value in ROLES:
+                if value != "form":
+                    return "never"
+                found = found or "doubtful"
+            elif name == "hidden" or name == "aria-hidden" and value == "true":
+                return "never"
+            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+                return "never"
+            elif name in ("class", "id"):
+                for one in value.split():
+                    words = set(WORDS.findall(one))
+                    positive = positive or bool(words & POSITIVE)
+                    if words & ABOUT:
+                        continue
+                    if words & NEVER:
+                        return "never"
+                    if words & DOUBTFUL:
+                        found = "doubtful"
+        return None if positive or tag == "article" else found
+
+    def dropped(self) -> list[bool]:
+        """Which elements are taken out, with all they hold.
 
-    def wrappers(self) -> list[bool]:
-        """Whether each element holds most of the text in article and main elements, or of the paragraphs' text
-        where those have none; dropped elements and links do not count."""
+        Doubtful ones and forms stay where they hold most of the prose and no article lies outside of them. What
+        holds the main element stays whatever it is called.
+        """
         tags, parents = self.tags, self.parents
         count = len(tags)
-        out, inside, prose = [False] * count, [False] * count, [False] * count
+        holds_main, never, inside, prose, doubtful = ([False] * count for _ in range(5))
+        for n in range(count - 1, 0, -1):
+            holds_main[parents[n]] = holds_main[parents[n]] or holds_main[n] or tags[n] == "main"
         for n in range(1, count):
             up = parents[n]
-            out[n] = out[up] or tags[n] == "a" or self.unwanted(n, True, True, False)
-            inside[n] = inside[up] or tags[n] in ("article", "main")
+            inside[n] = inside[up] or tags[up] in ("article", "main")
             prose[n] = prose[up] or tags[n] in PARAGRAPHS
-        articles, paragraphs = [0] * count, [0] * count
+            found = None if holds_main[n] else self.named(n)
+            never[n] = never[up] or found == "never" or tags[n] in DROPPED or (tags[n] == "header" and not inside[n])
+            doubtful[n] = found == "doubtful" or tags[n] == "form" and not holds_main[n]
+        framed, linked = doubtful[:], [False] * count
+        for n in range(1, count):
+            framed[n] = framed[n] or framed[parents[n]]
+            linked[n] = linked[parents[n]] or tags[n] == "a"
+        held, outside, in_article = [0] * count, False, [0] * count
         for node, value in self.events:
-            if value and not out[node]:
+            if value and not never[node] and not linked[node]:
                 size = len(value.strip())
-                articles[node] += size * inside[node]
-                paragraphs[node] += size * prose[node]
+                article = inside[node] or tags[node] in ("article", "main")
+                held[node] += size * prose[node]
+                in_article[node] += size * article
+                outside = outside or bool(size and article and not framed[node])
         for n in range(count - 1, 0, -1):
-            articles[parents[n]] += articles[n]
-            paragraphs[parents[n]] += paragraphs[n]
-        held = articles if articles[0] else paragraphs
-        return [2 * h > held[0] for h in held]
+            held[parents[n]] += held[n]
+            in_article[parents[n]] += in_article[n]
+        out = never
+        for n in range(1, count):
+            stays = not outside and 2 * held[n] > held[0] and (in_article[n] > 0 or held[n] >= LEAST_PROSE)
+            out[n] = out[n] or out[parents[n]] or doubtful[n] and not stays
+        return out
 
     def main_text(self) -> str:
-        return self._main_text(True) or self._main_text(False)
-
-    def _main_text(self, by_class: bool) -> str:
         tags, parents = self.tags, self.parents
         count = len(tags)
-        dropped, inside, linked = [False] * count, [False] * count, [False] * count
-        wraps = self.wrappers() if by_class else [False] * count
+        dropped = self.dropped()
+        linked = [False] * count
         for n in range(1, count):
-            up = parents[n]
-            inside[n] = inside[up] or tags[up] in ("article", "main")
-            linked[n] = linked[up] or tags[n] == "a"
-            dropped[n] = dropped[up] or self.unwanted(n, inside[n], wraps[n], by_class)
+            linked[n] = linked[parents[n]] or tags[n] == "a"
         own, commas, links, anchors = [0] * count, [0] * count, [0] * count, [0] * count
         for node, value in self.events:
             if value and not dropped[node]:

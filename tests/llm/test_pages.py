@@ -1,3 +1,7 @@
+import time
+
+import pytest
+
 from larkspur.llm.pages import extract_pages, main_text
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var t="</p>";</script></head>
@@ -32,7 +36,56 @@ def test_wrappers_of_the_whole_page_are_kept():
             assert "Side" not in text and ("Your" not in text or tag == "form")
     comments = f"<section id=comments>{body}{body}{body}</section>"
     assert main_text(f"<div class=has-sidebar><article><p>Short, but the story.</p></article>{comments}</div>") == "Short, but the story."
-    assert main_text("<div class=comment>Only this</div>") == "Only this"
+
+
+STORY = "<p>" + "The council met on Monday, the mayor said, and the bridge will be built. " * 3 + "</p>"
+OTHER = "<p>" + "Readers, visitors, and others write, at length, about other things. " * 5 + "</p>"
+#: Blocks that must not be in the text, whatever elements they are made of.
+BESIDE = {
+    "comments": f"<section id=comments>{f'<article class=comment-body>{OTHER}</article>' * 4}</section>",
+    "comment texts": f"<div class=comment-list>{f'<div class=comment-content>{OTHER}</div>' * 3}</div>",
+    "loose comments": f"<article class='comment even'>{OTHER}</article>" * 3,
+    "sidebar": f"<div class=sidebar>{f'<article class=teaser>{OTHER}</article>' * 4}</div>",
+    "promoted": f"<div class=promo>{f'<article>{OTHER}</article>' * 4}</div>",
+    "footer": f"<div id=page-footer>{OTHER}</div>",
+    "notice": f"<div class=cookie-notice>{OTHER}</div>",
+    "advert": f"<div class='ad top'>{OTHER}</div>",
+    "form": f"<form>{OTHER}</form>",
+    "related": f"<div class=related-posts>{OTHER}{OTHER}</div>",
+    "hidden": f"<div hidden>{OTHER}</div>",
+}
+FRAMES = [
+    "{}", "<main>{}</main>", "<div class=has-sidebar>{}</div>", "<div id=layout-no-footer>{}</div>", "<div class='content-sidebar-wrap'><main>{}</main></div>",
+]
+
+
+@pytest.mark.parametrize("beside", BESIDE)
+@pytest.mark.parametrize("frame", FRAMES)
+def test_story_in_varied_layouts(frame, beside):
+    for story in (f"<article>{STORY}</article>", f"<article class='post hentry'><h1>Title</h1>{STORY}{STORY}</article>"):
+        text = main_text(f"<body>{frame.format(story)}{BESIDE[beside]}</body>")
+        assert text.count("The council met") == story.count("The council met") and "Readers" not in text
+        before = main_text(f"<body>{BESIDE[beside]}{frame.format(story)}</body>")
+        assert before == text
+
+
+def test_framing_forms_and_headers():
+    for frame in ("form id=aspnetForm", "form role=form", "div class=banner", "div class=widget"):
+        text = main_text(f"<{frame}><article>{STORY}</article><div class=sidebar>{OTHER}</div></{frame.split()[0]}>")
+        assert text.count("The council met") == 3 and "Readers" not in text
+
+
+def test_nothing_but_notices_is_empty():
+    assert main_text("<ul class=menu><li><a href=1>A</a></ul><div class=cookie-notice><p>We use cookies, ok</p></div>") == ""
+    assert main_text("<div class=comment>Only this</div>") == ""
+    assert main_text("<form><p>Your, mail, please</p></form><footer>x</footer>") == ""
+
+
+def test_many_stray_tags_take_linear_time():
+    for piece in ("<b></i>", "</i><b>", "<b><div>", "<p><b></p>", "<li><b>"):
+        start = time.perf_counter()
+        main_text("<i><table><td><div>" + piece * 100_000 + "end")
+        assert time.perf_counter() - start < 20
 
 
 def test_odd_pages():
