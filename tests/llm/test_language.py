@@ -1,3 +1,5 @@
+import random
+
 from larkspur.llm import language
 
 
@@ -38,3 +40,40 @@ def test_more_languages_than_allowed(documents):
 
     with pytest.raises(ValueError):
         language.learn_dictionaries(documents(["a b", "c d"], lang=["x", "y"]), max_languages=1)
+
+
+POLISH = (
+    "w poniedziałek rada miasta spotkała się w ratuszu aby omówić budowę nowego mostu nad rzeką który połączy obie dzielnice i skróci "
+    "drogę do pracy wielu mieszkańcom burmistrz powiedział że prace zaczną się wiosną przyszłego roku a koszty pokryje budżet państwa "
+    "mieszkańcy pytali o hałas drzewa oraz objazdy i chcieli wiedzieć kiedy wszystko będzie gotowe"
+).split()
+
+
+def test_noise_and_other_languages_are_rejected(spark, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    learned = language.learn_dictionaries(docs.where(~language.held_out()))
+    assert learned.minimum > 0
+    draw = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz" + " " * 5
+    noise = ["".join(draw.choice(letters) for _ in range(n)) for n in (60, 200, 600, 6000, 60000) for _ in range(40)]
+    foreign = [" ".join(draw.choice(POLISH) for _ in range(n)) for n in (8, 30, 200, 2000) for _ in range(40)]
+    for texts in (noise, foreign):
+        rows = language.identify(documents(texts), learned).collect()
+        assert sum(r["accepted"] for r in rows) < 0.05 * len(rows)
+    known = docs.where(language.held_out() & language.F.col("text").isNotNull())
+    rows = language.identify(known, learned).collect()
+    assert sum(r["accepted"] for r in rows) >= 0.97 * len(rows)
+
+
+def test_long_texts_are_learned_from(documents):
+    long = ["the cat and the dog went home " * 600, "der hund und die katze gehen heim " * 600]
+    learned = language.learn_dictionaries(documents(long, lang=["en", "de"]))
+    assert set(learned) == {"de", "en"}
+    assert [r["lang_pred"] for r in language.identify(documents(["the dog went home", "die katze"]), learned).collect()] == ["en", "de"]
+
+
+def test_scores_do_not_jump_where_phrases_end():
+    content = b" the old bridge over the river was closed for repairs in the spring " * 4
+    dictionaries = (("a", content[:150]), ("b", b" il ponte era chiuso per lavori di primavera " * 3))
+    margins = [next(language.classify(language.pa.array([content[:n].decode()]), dictionaries, 6, 2.0))[2] for n in range(190, 210)]
+    assert max(abs(a - b) for a, b in zip(margins, margins[1:], strict=False)) < 0.5
