@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -49,9 +50,17 @@ LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{2,5}\) ?|00?[1-9][0-9]{1,3}[
 IPV6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
 
 # Gazetteers and cue words; fixed values.
-TOP_LEVEL = set("com org net edu gov io co info biz de fr es uk us eu it nl ch at be pt pl se example test invalid".split())
+#: Besides these, every name of two letters is a country's.
+TOP_LEVEL = set(
+    "com org net edu gov mil int arpa info biz name pro aero coop museum jobs mobi travel tel cat asia post xxx app dev page web site online "
+    "store shop blog cloud tech xyz top club live news media email work world group agency company digital network solutions services "
+    "systems software academy university school institute foundation health care bank finance law legal consulting design studio art "
+    "music film games sport example test invalid localhost".split()
+)
 ISSUERS = ("34", "37", "4", "51", "52", "53", "54", "55", "22", "23", "24", "25", "26", "27", "35", "36", "38", "60", "62", "64", "65")
-CALLING = set("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 61 62 63 64 65 66 81 82 84 86 90 91 92 351 352 353 358".split())
+#: Calling codes of one and two digits, and the first two digits of those of three.
+CALLING = set("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+CALLING_ZONES = set("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
 CUES = {
     "email": r"e-?mail|mail|contact|reach|write|correo|courriel|kontakt|contacto",
     "ip": r"\bip\b|ipv6|host|server|address|adresse|client|from",
@@ -203,14 +212,14 @@ def loose_spans(text: str) -> list[tuple[int, int, int]]:
 def _gazetteer(kind: int, value: str) -> int:
     if kind == 0:
         last = re.split(r"[^A-Za-z]+", value.lower())[-1]
-        return 1 if last in TOP_LEVEL else 0
+        return 1 if len(last) == 2 or last in TOP_LEVEL else 0
     if kind == 1:
         return 0 if value.startswith(("0.", "255.")) else 1
     digits = _digits(value)
     if kind == 2:
         return 1 if digits.startswith(ISSUERS) else -1
     if value.startswith("+"):
-        return 1 if any(digits[:n] in CALLING for n in (1, 2, 3)) else -1
+        return 1 if digits[:1] in CALLING or digits[:2] in CALLING | CALLING_ZONES else -1
     return 0
 
 
@@ -223,12 +232,39 @@ def votes(text: str, kind: int, start: int, end: int, form: int) -> tuple[int, .
     return ((1, -1, 0, 1)[form], _gazetteer(kind, text[start:end]), cue, -1 if touched else 1)
 
 
+class Taken:
+    """Spans, of which some may overlap each other, to be asked whether another one meets them.
+
+    They are held in sorted runs of touching spans, so a question costs a binary search.
+    """
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, b)
+        return i > 0 and self.ends[i - 1] > a
+
+    def add(self, a: int, b: int) -> None:
+        """Add a span that meets none."""
+        i = bisect_left(self.starts, a)
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+
+
 def candidates(text: str) -> list[Candidate]:
     strict = strict_spans(text)
     found = [(kind, a, b, 0 if good else 1) for kind, a, b, good in strict]
-    taken = [(a, b) for _, a, b, good in strict if good]
+    taken = Taken((a, b) for _, a, b, good in strict if good)
     for kind, a, b in loose_spans(text):
-        if not any(a < y and x < b for x, y in taken):
+        if not taken.meets(a, b):
             found.append((kind, a, b, 2))
     for kind, a, b, good in strict:
         if not good and kind > 1:
@@ -318,10 +354,12 @@ def spans_of(text: str, weights: np.ndarray, least: float = LEAST) -> list[tuple
     kept = [(c.kind, c.start, c.end, True) for c in found if c.form == 0]
     loose = [c for c in found if c.form >= 2 and max(c.votes[1:3]) > 0 and min(c.votes[2:]) >= 0]
     if loose:
+        taken = Taken((a, b) for _, a, b, _ in kept)
         score = 1 / (1 + np.exp(-np.clip(_features(np.array([c.pattern for c in loose])) @ weights, -30, 30)))
         for i in np.argsort(-score, kind="stable"):
             c = loose[i]
-            if score[i] > least and not any(c.start < b and a < c.end for _, a, b, _ in kept):
+            if score[i] > least and not taken.meets(c.start, c.end):
+                taken.add(c.start, c.end)
                 kept.append((c.kind, c.start, c.end, False))
     return sorted(kept)
 

@@ -82,3 +82,27 @@ def test_nothing_learned_adds_nothing(documents):
     weights = private.learn(documents(["no data here", None]))
     assert set(weights) == {0.0}
     assert [s[3] for s in private.spans_of("a@b.co jane [at] x [dot] org", np.array(weights))] == [True]
+
+
+def test_dense_long_texts_take_linear_time():
+    import time
+
+    line = "write to a.b{0}@example.org or jane{0} [at] acme [dot] com, call 0171 555 {0} or +49 171 5550{0}, from 10.0.0.1\n"
+    text = "".join(line.format(1000 + i) for i in range(9_000))  # about a megabyte
+    start = time.perf_counter()
+    found = private.candidates(text)
+    spans = private.spans_of(text, np.zeros(len(private._features(np.zeros((1, 3 + private.LABELERS), int))[0])))
+    assert time.perf_counter() - start < 30
+    assert len(found) > 30_000 and len(spans) >= 27_000
+
+
+def test_taken_spans():
+    taken = private.Taken([(5, 9), (1, 3), (8, 12), (20, 21)])
+    met = {(a, b) for a in range(24) for b in range(a + 1, 25) if taken.meets(a, b)}
+    assert met == {(a, b) for a in range(24) for b in range(a + 1, 25) if any(a < y and x < b for x, y in [(5, 9), (1, 3), (8, 12), (20, 21)])}
+    taken.add(14, 16)
+    assert taken.meets(15, 18) and not taken.meets(12, 14)
+
+
+def test_calling_codes():
+    assert [private._gazetteer(3, f"+{code} 555 0100 22") for code in ("52", "60", "95", "234", "1", "380", "28", "89", "0")] == [1] * 6 + [-1] * 3
