@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from larkspur.llm.common import checkpointed, unit_hash
 
 SEED = 42
+#: Largest mean that is inverted at once, and copies of a row that one task explodes.
+PART_RATE = 256.0
+COPY_BLOCK = 1024
 #: Sources up to which the rates are broadcast (under 10 MB); beyond, they are joined by shuffling.
 BROADCAST_SOURCES = 20_000
 
@@ -76,13 +79,31 @@ def mix_sources(
     """
     if copy in docs.columns:
         raise ValueError(f"docs has a column {copy}")
-    rates = checkpointed(source_rates(docs, weights, total, source=source).select(F.col("source").alias("__source"), poisson_steps(F.col("rate")).alias("__steps")))
+    rate = F.col("rate")
+    parts = F.greatest(F.lit(1), F.ceil(rate / PART_RATE)).cast("int")
+    steps = poisson_steps(rate / parts)
+    rates = source_rates(docs, weights, total, source=source).select(F.col("source").alias("__source"), parts.alias("__parts"), steps.alias("__steps"))
+    rates = checkpointed(rates)
     if rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
     drawn = docs.join(rates, F.col(source).eqNullSafe(F.col("__source")), "left")
-    u = unit_hash(doc_id, seed=seed)
-    count = F.aggregate("__steps", F.lit(0), lambda n, s: n + (s <= F.col("__u")).cast("int"))
-    copies = drawn.withColumn("__u", u).withColumn("__n", count).where(F.col("__n") > 0)
-    rows = copies.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__n"))).alias(copy))
+
+    def below(u: Column) -> Column:
+        return F.aggregate("__steps", F.lit(0), lambda n, s: n + (s <= u).cast("int"))
+
+    # The first part's number is in a column of its own: it is all there is but for large rates.
+    more = F.transform(F.sequence(F.lit(2), "__parts"), lambda part: below(unit_hash(doc_id, part, seed=seed)))
+    rest = F.when(F.col("__parts") > 1, F.aggregate(more, F.lit(0), lambda n, k: n + k)).otherwise(0)
+    counted = drawn.withColumn("__u", unit_hash(doc_id, seed=seed)).withColumn("__n", below(F.col("__u")) + rest).where(F.col("__n") > 0)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    few = counted.where(F.col("__n") <= COPY_BLOCK).select(*columns, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias(copy))
+    rows = few
+    if rates.where("__parts > 1").limit(1).count():
+        # Rows with many copies are dealt out block by block, so that none is exploded in one task.
+        blocks = F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / COPY_BLOCK).cast("int"))).alias("__block")
+        many = counted.where(F.col("__n") > COPY_BLOCK).select(*columns, "__n", blocks)
+        dealt = many.repartition(F.xxhash64(F.col(doc_id), F.col("__block")))
+        first = F.col("__block") * COPY_BLOCK + 1
+        rows = few.unionByName(dealt.select(*columns, F.explode(F.sequence(first, F.least(first + COPY_BLOCK - 1, F.col("__n")))).alias(copy)))
     place = F.xxhash64(F.lit(seed), F.col(doc_id), F.col(copy))
     return rows.withColumn("__place", place).repartition("__place").sortWithinPartitions("__place").drop("__place")

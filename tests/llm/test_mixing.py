@@ -53,3 +53,13 @@ def test_many_sources_are_joined_by_shuffling(documents, monkeypatch):
 def test_plan_has_no_python(documents):
     plan = mixing.mix_sources(documents(["a"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_very_large_rates_take_linear_time(spark):
+    docs = spark.createDataFrame([(i, "x") for i in range(4)], "doc_id long, source string")
+    rows = mixing.mix_sources(docs, total=400_000)
+    counts = {r["doc_id"]: (r["n"], r["most"], r["kinds"]) for r in rows.groupBy("doc_id").agg({"*": "count"}).withColumnRenamed("count(1)", "n").join(
+        rows.groupBy("doc_id").agg(mixing.F.max("copy").alias("most"), mixing.F.count_distinct("copy").alias("kinds")), "doc_id").collect()}
+    assert len(counts) == 4 and len({n for n, _, _ in counts.values()}) > 1
+    for n, most, kinds in counts.values():
+        assert n == most == kinds and abs(n - 100_000) < 6 * math.sqrt(100_000)
