@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larkspur.functions import markup
+from larkspur.functions import markup, selectors
 from larkspur.operators import corpus
 from larkspur.plans import retrieval, scoring
 from larkspur.plans.churn import CHURN_SQL, churn_view
@@ -93,6 +93,28 @@ def class_blocks_with_child(spark, folder):
     return pages.select("page_id", F.explode_outer(blocks).alias("block")).where(F.col("block").isNotNull())
 
 
+NAV_LINKS = "regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li><a href=\"([^\"]*)\">', 1)"
+
+
+@query("navigation_links", f"SELECT page_id, unnest({NAV_LINKS}) AS link FROM pages")
+def navigation_links(spark, folder):
+    """Addresses in the menus of the pages, and of no other links: child and descendant steps."""
+    pages = spread(table(spark, folder, "pages").select("page_id", "html"), "page_id")
+    links = selectors.select_attribute(F.col("html"), "body > nav li > a[href]", "href")
+    return pages.select("page_id", F.explode_outer(links).alias("link")).where(F.col("link").isNotNull())
+
+
+@query("thumbnail_pictures", "SELECT page_id, url AS picture FROM pages")
+def thumbnail_pictures(spark, folder):
+    """Each page with images of the thumbnail class before, inside and after the button: only the one inside is its picture."""
+    image = F.format_string('<img class="x img_thumb" src="%s">', "url")
+    other = F.lit('<div><img class="img_thumb" src="/other.png"></div><button class="btn"><img class="img_thumb" src="/no.png"></button>')
+    button = F.concat(F.lit('<button class="big btn_thumb"><span><b>'), image, F.lit("</b></span></button>"))
+    framed = F.concat(other, F.col("html"), button, other)
+    pages = spread(table(spark, folder, "pages").select("page_id", "url", "html"), "page_id")
+    return pages.select("page_id", selectors.first_selected(framed, "button.btn_thumb .img_thumb", "src").alias("picture"))
+
+
 @query("background_urls", "SELECT page_id, url AS picture FROM pages")
 def background_urls(spark, folder):
     """The address of each page as a CSS background, in the three ways of quoting."""

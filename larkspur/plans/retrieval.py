@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import sentences
 from larkspur.functions.vectors import as_double, mean_vector
-from larkspur.operators import answering, corpus, retrieval
+from larkspur.operators import answering, corpus, inverted, retrieval, vectorindex
 from larkspur.plans.registry import query
+from larkspur.session import fresh_folder
 from larkspur.sources.tables import table
 
 VECTOR_SIZE = 64
@@ -221,6 +222,44 @@ def bm25_topk_chunks(spark, folder):
     return retrieval.bm25_topk(_items(spark, folder), pieces, item_id="chunk_id")
 
 
+@query(
+    "bm25_topk_indexed",
+    "WITH" + bm25_sql(ITEM_SQL, TEXT_SQL, "doc_id") + "SELECT * FROM ranked WHERE rank <= 3",
+)
+def bm25_topk_indexed(spark, folder):
+    """The index is stored, and searched block by block."""
+    path = fresh_folder(spark, "inverted")
+    inverted.build_index(table(spark, folder, "documents"), path, block_texts=256)
+    return inverted.search(_items(spark, folder), inverted.open_index(spark, path))
+
+
+@query(
+    "vector_index_all_lists",
+    "WITH q AS (SELECT item_id AS query_id, embedding::DOUBLE[] AS v FROM benchmark "
+    "JOIN embeddings ON vec_id = item_id)," + COSINE_SQL + "SELECT * FROM ranked WHERE rank <= 3",
+)
+def vector_index_all_lists(spark, folder):
+    """Every list is visited, so the result is that of the exact search."""
+    index = vectorindex.build_index(_stored_vectors(spark, folder), fresh_folder(spark, "vectors"))
+    return vectorindex.search(_item_vectors(spark, folder), index, probes=len(index.facts["centres"]))
+
+
+@query(
+    "vector_index_recall",
+    "SELECT count(*) AS queries, (SELECT count(*) FROM embeddings) AS indexed, true AS recalled FROM benchmark JOIN embeddings ON vec_id = item_id",
+)
+def vector_index_recall(spark, folder):
+    """How many of the exact three nearest a search of the fitted number of lists finds: at least nine in ten."""
+    index = vectorindex.build_index(_stored_vectors(spark, folder), fresh_folder(spark, "vectors"))
+    queries = _item_vectors(spark, folder)
+    found = vectorindex.search(queries, index).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    exact = cosine_topk(spark, folder).select("query_id", "vec_id")
+    share = F.coalesce(F.sum("hit"), F.lit(0)) / F.count(F.lit(1))
+    return exact.join(found, ["query_id", "vec_id"], "left").agg(
+        F.count_distinct("query_id").alias("queries"), F.lit(index.facts["vectors"]).cast("long").alias("indexed"), (share >= 0.9).alias("recalled")
+    )
+
+
 # --- hybrid -----------------------------------------------------------------------------------
 
 HYBRID_SQL = (

@@ -1,16 +1,19 @@
-"""A collection: chunk, sparse-vector and dense-vector tables side by side under one path."""
+"""A collection: chunk, sparse-vector, dense-vector and index tables side by side under one path."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larkspur.sources.snapshots import open_snapshot, remove_old, write_snapshot
+
 
 def create_collection(path: str, chunks: DataFrame, **vectors: DataFrame) -> None:
-    """Create or replace: what an earlier load left under ``path`` is overwritten, table by table."""
-    for name, rows in {"chunks": chunks, **vectors}.items():
-        rows.write.mode("overwrite").parquet(f"{path}/{name}")
+    """Create or replace all tables at once; what an earlier load left is deleted once the new state stands."""
+    spark = chunks.sparkSession
+    write_snapshot(spark, path, {"chunks": chunks, **vectors})
+    remove_old(spark, path)
 
 
 def open_collection(spark: SparkSession, path: str, part: str = "chunks") -> DataFrame:
     """Attach to one table of an existing collection."""
-    return spark.read.parquet(f"{path}/{part}")
+    return open_snapshot(spark, path).table(part)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.markup import background_url, first_attribute
+from larkspur.functions.selectors import first_selected
 
 # The commands, their reply texts, which menus each reply carries, and the element
 # classes that hold a menu's picture.
@@ -26,14 +27,14 @@ REPLIES = [
         [],
     ),
 ]
-THUMBNAIL_CLASS = "img_thumb"
+THUMBNAIL = "button.btn_thumb .img_thumb"
 BACKGROUND_CLASS = "wrap_fit_thumb"
 
 
 def menu_picture(html: Column) -> Column:
-    """URL of a menu page's picture: a thumbnail image, else a background image; NULL if none."""
+    """URL of a menu page's picture: the image inside a thumbnail button, else a background image; NULL if none."""
     style = first_attribute(html, "div", "style", BACKGROUND_CLASS)
-    return F.coalesce(first_attribute(html, "img", "src", THUMBNAIL_CLASS), background_url(style))
+    return F.coalesce(first_selected(html, THUMBNAIL, "src"), background_url(style))
 
 
 def menu_replies(pages: DataFrame) -> DataFrame:
