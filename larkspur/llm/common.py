@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +37,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def join_counted(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str, share: float, least: int) -> DataFrame:
+    """Join on keys that are unique in ``right``, whose column ``rows`` counts the rows of ``left``.
+
+    Keys with more than a share of all rows, and more than ``least``, are at most ``1 / share``; they are
+    broadcast, so that none of them is gathered in one task. Both sides should be stored, as both are read twice.
+    """
+    total = right.agg(F.sum(rows)).first()[0] or 0
+    limit = max(least, int(total * share))
+    names = list(keys)
+    large = F.broadcast(right.where(F.col(rows) > limit))
+    small = left.join(large.select(*names), names, "left_anti").join(right.where(F.col(rows) <= limit), names)
+    return small.unionByName(left.join(large, names))
+
+
 def unit_hash(*columns: Column | str, seed: int = 0) -> Column:
     """A number in (0, 1) decided by the columns' text: 52 bits of an MD5, which every SQL engine has."""
     parts = [F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"), F.lit("\x00")) for c in columns]

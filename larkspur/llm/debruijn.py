@@ -22,7 +22,7 @@ by joins whose largest keys are broadcast; there are at most ``1 / SHARE`` of ei
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import BLANKS, checkpointed, release, slices, stored
+from larkspur.llm.common import BLANKS, checkpointed, join_counted, release, slices, stored
 from larkspur.llm.repeats import Hashes, bytes_of, sliding_minimum
 
 LENGTH = 20
@@ -221,20 +221,6 @@ def _arrow_schema() -> pa.Schema:
     return pa.schema([*((n, pa.int64()) for n in names), ("kept_text", pa.string()), ("kept_sha256", pa.string()), ("spans", pa.list_(span))])
 
 
-def join_counted(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str) -> DataFrame:
-    """Join on keys that are unique in ``right``, whose column ``rows`` counts the rows of ``left``.
-
-    Keys with more than a share of all rows are at most ``1 / SHARE``; they are broadcast, so that none of
-    them is gathered in one task. Both sides should be stored, as ``left`` is read twice.
-    """
-    total = right.agg(F.sum(rows)).first()[0] or 0
-    limit = max(LARGE, int(total * SHARE))
-    names = list(keys)
-    large = F.broadcast(right.where(F.col(rows) > limit))
-    small = left.join(large.select(*names), names, "left_anti").join(right.where(F.col(rows) <= limit), names)
-    return small.unionByName(left.join(large, names))
-
-
 def _place(prefix: str = "") -> F.Column:
     return F.struct(F.col(f"{prefix}key").alias("key"), F.col(f"{prefix}start").alias("start"))
 
@@ -264,7 +250,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     many = stored(every.join(F.broadcast(large), "anchor", "left_semi"), "large_runs")
     paths = stored(many.groupBy("anchor", "path").agg(F.count(F.lit(1)).alias("copies"), F.min(_place()).alias("first")), "paths")
     totals = paths.groupBy("anchor").agg(F.sum("copies").alias("total"))  # a row for each large anchor
-    found = join_counted(many, paths, ["anchor", "path"], "copies").join(F.broadcast(totals), "anchor").where("total > 1")
+    found = join_counted(many, paths, ["anchor", "path"], "copies", SHARE, LARGE).join(F.broadcast(totals), "anchor").where("total > 1")
     return stored(small.unionByName(found), "runs")
 
 
@@ -277,7 +263,7 @@ def compacted_segments(docs: DataFrame, branching: DataFrame, length: int = LENG
         F.sum("copies").alias("copies"), F.min(_place()).alias("source"), F.count(F.lit(1)).alias("rows")
     )
     counted = stored(counted, "counted_edges")
-    joined = join_counted(edges.select("anchor", "path", "at", "edge"), counted, ["anchor", "edge"], "rows")
+    joined = join_counted(edges.select("anchor", "path", "at", "edge"), counted, ["anchor", "edge"], "rows", SHARE, LARGE)
     lists = joined.groupBy("anchor", "path").agg(F.array_sort(F.collect_set(F.struct("at", "copies", "source"))).alias("edges"))
 
     def starts(edge: F.Column, i: F.Column) -> F.Column:
@@ -325,7 +311,7 @@ def remove_repeats(
     branching = repeated.where("total > copies")
     segments = compacted_segments(named, branching, length)
     sized = stored(segments.join(branching.groupBy("anchor", "path").agg(F.count(F.lit(1)).alias("rows")), ["anchor", "path"]), "segments")
-    cut = join_counted(branching.select("anchor", *run), sized, ["anchor", "path"], "rows").select(*run, F.inline("segments"))
+    cut = join_counted(branching.select("anchor", *run), sized, ["anchor", "path"], "rows", SHARE, LARGE).select(*run, F.inline("segments"))
     piece = F.struct(
         (F.col("start") + F.col("at")).alias("at"), "size", "start", "windows", "path", F.col("source.key").alias("source"), F.col("source.start").alias("source_at")
     )

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import checkpointed, release, slices, stored
+from larkspur.llm.common import checkpointed, join_counted, release, slices, stored
 from larkspur.llm.components import components
 
 #: Shingles that a cell holds, about: at 80 bytes each 400 MB of a Python worker, as two share 1.2 GB beside the heap.
@@ -39,6 +39,9 @@ CELL_SHINGLES = 5_000_000
 CELL_SETS = 16_384
 #: How often sets with too few common signatures for any link are taken out.
 PRUNINGS = 2
+#: Classes with more than this share of all sets, and this number, are joined by broadcasting their rows.
+LARGE_SHARE = 1e-4
+LARGE_CLASS = 500
 #: Bytes of text that are hashed at once.
 SLICE = 1_000_000
 #: Bits of a shingle's hash that sets of a cell are compared by, and its bytes in a row.
@@ -450,7 +453,7 @@ def _classified(docs: DataFrame, doc_id: str, text: str, width: int, threshold:
     for _ in range(PRUNINGS):
         alive = shared.groupBy("node").agg(F.count_distinct("signature").alias("c"), F.max("need").alias("least")).where("c >= least").select("node")
         shared = stored(shared.join(alive, "node").withColumn("n", F.count("*").over(group)).where("n > 1").drop("n"), "signatures")
-    smallest = F.first("node").over(group.orderBy("node"))
+    smallest = F.min("node").over(group)
     families = components(shared.select(smallest.alias("a"), F.col("node").alias("b")))
 
     sizes = Sizes(part, whole)
@@ -466,8 +469,9 @@ def _classified(docs: DataFrame, doc_id: str, text: str, width: int, threshold:
     joined = components(links)
 
     classes = kinds.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "first", F.coalesce("label", "digest").alias("label"))
-    lowest = classes.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = classes.join(lowest, "label").select("digest", "label", "component_id")
+    classes = stored(classes, "classes")
+    lowest = classes.groupBy("label").agg(F.min("first").alias("component_id"), F.count("*").alias("sets"))
+    named = join_counted(classes, stored(lowest, "lowest"), ["label"], "sets", LARGE_SHARE, LARGE_CLASS).select("digest", "label", "component_id")
     rows = described.select("doc_id", "text_hash", "n_shingles", "digest").join(named, "digest", "left")
     return rows.select("doc_id", "text_hash", "n_shingles", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import checkpointed, release, slices, stored
+from larkspur.llm.common import checkpointed, join_counted, release, slices, stored
 from larkspur.llm.jaccard import mix
 from larkspur.llm.suffixes import common_prefixes, suffix_array
 
@@ -44,6 +44,11 @@ BROADCAST_KEYS = 500_000
 #: Texts of copies that a task remembers, so as to write the runs of equal texts once.
 REMEMBERED = 1_000_000
 SLICE = 1_000_000
+#: One text in so many is looked at for large anchors, which decides how work is dealt, not results. Large are those
+#: with more than this share of the runs, and this number.
+LOOK = 32
+SHARE = 1e-4
+LARGE = 1_000
 #: Neighbouring strings whose common middle is compared at once.
 BLOCK = 16
 
@@ -364,14 +369,7 @@ def remove_repeats(
     slim = stored(chosen.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "texts")
     classes = slim.groupBy("key").agg(F.count("*").alias("copies"), F.min(at).alias("first"), F.first("n_bytes").alias("size"))
 
-    found = chosen.where(F.octet_length("text") >= length).select("key", "text").mapInArrow(_runs(length, gram), RUNS)
-    same_anchor, same_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content")
-    counted = found.select("*", F.count("*").over(same_content).alias("c"), F.row_number().over(same_content.orderBy("key", "start")).alias("i"))
-    counted = counted.withColumn("n", F.count("*").over(same_anchor)).where("n > 1")
-    counted = stored(counted.select("key", "anchor", "content", "start", "last", "at", (F.col("c") > 1).alias("equal"), ((F.col("n") > F.col("c")) & (F.col("i") == 1)).alias("mixed")), "runs")
-
-    spans = counted.where("equal").select("key", "start", (F.col("last") + length).cast("int").alias("end"))
-    mixed = counted.where("mixed").withColumn("wanted", ~F.col("equal"))
+    spans, mixed = _counted_runs(chosen.where(F.octet_length("text") >= length).select("doc_id", "key", "text"), length, gram)
     sizes = mixed.groupBy("anchor").agg(F.sum(F.col("last") - F.col("start") + length).alias("bytes"))
     hot = checkpointed(sizes.where(F.col("bytes") > shard_bytes).select("anchor"))
     any_hot = not hot.isEmpty()
@@ -410,6 +408,38 @@ def remove_repeats(
     )
 
 
+def _counted_runs(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of runs whose anchor and content are there again, and one run of each content whose anchor has others.
+
+    Anchors with more than a share of all runs, as a sample shows them, are counted by content before they are
+    shuffled, and joined back without bringing one together.
+    """
+    names = ["key", "anchor", "content", "start", "last", "at"]
+    every = docs.select("key", "text").mapInArrow(_runs(length, gram), RUNS).select(*names)
+    looked = docs.where(F.pmod(F.xxhash64("doc_id", "key"), F.lit(LOOK)) == 0).select("key", "text").mapInArrow(_runs(length, gram), RUNS)
+    seen = checkpointed(looked.groupBy("anchor").count().where(F.col("count") > 4))
+    total = seen.agg(F.sum("count")).first()[0] or 0
+    large = checkpointed(seen.where(F.col("count") > max(LARGE // LOOK, int(total * SHARE))).select("anchor"))
+
+    same_anchor, same_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content")
+    small = every.join(F.broadcast(large), "anchor", "left_anti")
+    counted = small.select("*", F.count("*").over(same_content).alias("c"), F.row_number().over(same_content.orderBy("key", "start")).alias("i"))
+    counted = counted.withColumn("n", F.count("*").over(same_anchor)).where("n > 1")
+    counted = stored(counted.select(*names, (F.col("c") > 1).alias("equal"), ((F.col("n") > F.col("c")) & (F.col("i") == 1)).alias("mixed")), "runs")
+    span = ["key", "start", (F.col("last") + length).cast("int").alias("end")]
+    spans, mixed = counted.where("equal").select(*span), counted.where("mixed").select(*names, (~F.col("equal")).alias("wanted"))
+    if not large.isEmpty():
+        many = stored(every.join(F.broadcast(large), "anchor", "left_semi"), "large_runs")
+        first = F.min(F.struct("key", "start", "last", "at")).alias("first")
+        contents = stored(many.groupBy("anchor", "content").agg(F.count("*").alias("c"), first), "contents")
+        totals = contents.groupBy("anchor").agg(F.sum("c").alias("n"))  # a row for each large anchor
+        repeated = join_counted(many, contents.select("anchor", "content", "c"), ["anchor", "content"], "c", SHARE, LARGE).where("c > 1")
+        others = contents.join(F.broadcast(totals), "anchor").where("n > c")
+        spans = spans.unionByName(repeated.select(*span))
+        mixed = mixed.unionByName(others.select("anchor", "content", "first.*", (F.col("c") == 1).alias("wanted")))
+    return spans, mixed
+
+
 def _texts(chosen: DataFrame, listed: DataFrame, what: str) -> DataFrame:
     """key, text and ``what`` for the texts that ``listed`` (key, first: an id with that text) names.
 

@@ -42,6 +42,15 @@ def test_equal_to_brute_force(documents, length, gram, shard):
     assert {r["doc_id"]: tuple(r)[1:5] for r in found} == kept_bytes(enumerate(texts), length)
 
 
+@pytest.mark.parametrize(("length", "gram", "shard"), [(60, 20, 1_000_000), (40, 12, 1)])
+def test_all_anchors_counted_as_large_ones(documents, monkeypatch, length, gram, shard):
+    for name, value in (("LOOK", 1), ("SHARE", 0.0), ("LARGE", 1)):
+        monkeypatch.setattr(repeats, name, value)
+    texts = passages(length + 1) + ["0123456789" * 30 + f" {i}" for i in range(8)]
+    found = repeats.remove_repeats(documents(texts), length=length, gram=gram, shard_bytes=shard).collect()
+    assert {r["doc_id"]: tuple(r)[1:5] for r in found} == kept_bytes(enumerate(texts), length)
+
+
 def test_texts_joined_by_shuffling(documents, monkeypatch):
     monkeypatch.setattr(repeats, "BROADCAST_KEYS", 1)
     texts = passages(9)
