@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import checkpointed, join_counted, release, slices, stored
+from larkspur.llm.common import checkpointed, release, slices, stored
 from larkspur.llm.jaccard import mix
 from larkspur.llm.suffixes import common_prefixes, suffix_array
 
@@ -433,13 +433,22 @@ def _counted_runs(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, D
         first = F.min(F.struct("key", "start", "last", "at")).alias("first")
         contents = stored(many.groupBy("anchor", "content").agg(F.count("*").alias("c"), first), "contents")
         totals = contents.groupBy("anchor").agg(F.sum("c").alias("n"))  # a row for each large anchor
-        repeated = join_counted(many, contents.select("anchor", "content", "c"), ["anchor", "content"], "c", SHARE, LARGE).where("c > 1")
+        repeated = _again(many, contents.where("c > 1"), ["anchor", "content"])
         others = contents.join(F.broadcast(totals), "anchor").where("n > c")
         spans = spans.unionByName(repeated.select(*span))
         mixed = mixed.unionByName(others.select("anchor", "content", "first.*", (F.col("c") == 1).alias("wanted")))
     return spans, mixed
 
 
+def _again(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``rows`` whose ``keys`` are in ``counted``, which has their numbers as ``c``. The largest are broadcast."""
+    total = counted.agg(F.sum("c")).first()[0] or 0
+    large = F.col("c") > max(LARGE, int(total * SHARE))
+    most = F.broadcast(counted.where(large).select(*keys))
+    rest = rows.join(most, keys, "left_anti").join(counted.where(~large).select(*keys), keys, "left_semi")
+    return rest.unionByName(rows.join(most, keys, "left_semi"))
+
+
 def _texts(chosen: DataFrame, listed: DataFrame, what: str) -> DataFrame:
     """key, text and ``what`` for the texts that ``listed`` (key, first: an id with that text) names.
 
