@@ -433,20 +433,25 @@ def _counted_runs(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, D
         first = F.min(F.struct("key", "start", "last", "at")).alias("first")
         contents = stored(many.groupBy("anchor", "content").agg(F.count("*").alias("c"), first), "contents")
         totals = contents.groupBy("anchor").agg(F.sum("c").alias("n"))  # a row for each large anchor
-        repeated = _again(many, contents.where("c > 1"), ["anchor", "content"])
+        repeated = _again(many, contents.where("c > 1"))
         others = contents.join(F.broadcast(totals), "anchor").where("n > c")
         spans = spans.unionByName(repeated.select(*span))
         mixed = mixed.unionByName(others.select("anchor", "content", "first.*", (F.col("c") == 1).alias("wanted")))
     return spans, mixed
 
 
-def _again(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
-    """The ``rows`` whose ``keys`` are in ``counted``, which has their numbers as ``c``. The largest are broadcast."""
+def _again(rows: DataFrame, counted: DataFrame) -> DataFrame:
+    """The ``rows`` whose content is in ``counted``, which has their numbers as ``c``.
+
+    Contents with more than a share of all rows are at most ``1 / SHARE``; they are known to every task, so none
+    of them is gathered in one.
+    """
     total = counted.agg(F.sum("c")).first()[0] or 0
     large = F.col("c") > max(LARGE, int(total * SHARE))
-    most = F.broadcast(counted.where(large).select(*keys))
-    rest = rows.join(most, keys, "left_anti").join(counted.where(~large).select(*keys), keys, "left_semi")
-    return rest.unionByName(rows.join(most, keys, "left_semi"))
+    most = [r["content"] for r in counted.where(large).select("content").distinct().collect()]
+    is_most = F.col("content").isin(most) if most else F.lit(False)
+    rest = rows.where(~is_most).join(counted.where(~large).select("anchor", "content"), ["anchor", "content"], "left_semi")
+    return rest.unionByName(rows.where(is_most))
 
 
 def _texts(chosen: DataFrame, listed: DataFrame, what: str) -> DataFrame:
