@@ -419,17 +419,19 @@ def _counted_runs(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, D
     looked = docs.where(F.pmod(F.xxhash64("doc_id", "key"), F.lit(LOOK)) == 0).select("key", "text").mapInArrow(_runs(length, gram), RUNS)
     seen = checkpointed(looked.groupBy("anchor").count().where(F.col("count") > 4))
     total = seen.agg(F.sum("count")).first()[0] or 0
-    large = checkpointed(seen.where(F.col("count") > max(LARGE // LOOK, int(total * SHARE))).select("anchor"))
+    # At most 1 / SHARE anchors, which every task is told.
+    large = [r["anchor"] for r in seen.where(F.col("count") > max(LARGE // LOOK, int(total * SHARE))).collect()]
+    is_large = F.col("anchor").isin(large) if large else F.lit(False)
 
     same_anchor, same_content = Window.partitionBy("anchor"), Window.partitionBy("anchor", "content")
-    small = every.join(F.broadcast(large), "anchor", "left_anti")
+    small = every.where(~is_large)
     counted = small.select("*", F.count("*").over(same_content).alias("c"), F.row_number().over(same_content.orderBy("key", "start")).alias("i"))
     counted = counted.withColumn("n", F.count("*").over(same_anchor)).where("n > 1")
     counted = stored(counted.select(*names, (F.col("c") > 1).alias("equal"), ((F.col("n") > F.col("c")) & (F.col("i") == 1)).alias("mixed")), "runs")
     span = ["key", "start", (F.col("last") + length).cast("int").alias("end")]
     spans, mixed = counted.where("equal").select(*span), counted.where("mixed").select(*names, (~F.col("equal")).alias("wanted"))
-    if not large.isEmpty():
-        many = stored(every.join(F.broadcast(large), "anchor", "left_semi"), "large_runs")
+    if large:
+        many = stored(every.where(is_large), "large_runs")
         first = F.min(F.struct("key", "start", "last", "at")).alias("first")
         contents = stored(many.groupBy("anchor", "content").agg(F.count("*").alias("c"), first), "contents")
         totals = contents.groupBy("anchor").agg(F.sum("c").alias("n"))  # a row for each large anchor
