@@ -61,7 +61,7 @@ def test_penalty_follows_total_weight(customers):
     assert models.total_weight(customers, None) == N
 
 
-def test_reported_settings_are_the_defaults():
+def test_reported_settings_are_the_defaults(spark):
     deep, shallow, wide, fold = (m.settings for m in (models.deep_boosting(), models.shallow_boosting(), models.wide_boosting(), models.fold_boosting()))
     assert (deep.rounds, deep.depth, deep.leaves, deep.rate, deep.column_share) == (120, 8, 34, 0.01, 0.8)
     assert (shallow.rounds, shallow.depth, shallow.leaves, shallow.l1, shallow.l2) == (700, 4, 16, 0.1, 1.0)
