@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from larkspur.llm import nearest
@@ -44,6 +45,34 @@ def test_odd_rows(spark):
     assert read(spark, [(0, [1.0])]) == {}
 
 
+def test_copies_of_one_vector_beyond_a_block(spark):
+    rows = [(i, [1.0, 0.5]) for i in range(300)] + [(0, [1.0, 0.5])] * 40 + [(1, [1.0, 0.5])] * 40
+    rows += [(1000 + i, [0.1 * i, 1.0]) for i in range(60)]
+    assert read(spark, rows, block=16) == expected(rows, 5)
+    data = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, v array<double>")
+    left = nearest.without_needless_copies(data, 5, 16)
+    assert left.where("vec_id < 1000").count() == 5 + 5 + 4 and left.where("vec_id >= 1000").count() == 60
+
+
+def test_queries_of_one_id_are_ranked_apart(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [3.0, 0.0]), (2, [0.0, 2.0])]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = nearest.top_k(data, data.where("vec_id = 0"), 1).collect()
+    assert sorted(map(tuple, found)) == [(0, 1, 1, 3 * 65536), (0, 1, 2, 2 * 65536)]
+
+
+def test_blocks_are_copied_as_often_as_they_are_asked_for(monkeypatch, spark):
+    monkeypatch.setattr(nearest, "CELLS", 50)
+    monkeypatch.setattr(nearest, "SENT_ROWS", 3)
+    random.seed(2)
+    rows = [(i, [random.gauss(0, 1) for _ in range(4)]) for i in range(500)]
+    assert read(spark, rows, pivots=9, block=20, chunk=3) == expected(rows, 5)
+    batch = pa.RecordBatch.from_pylist([{"vec_id": i, "v": v, "vkey": 0, "least": -1e18} for i, v in rows[:7]])
+    groups = {0: (1000, 1.0), 1: (3, 1.0)}
+    runs = [len(r) for _, r, _, _ in nearest._meetings([rows[0][1], rows[1][1]], groups, False, [batch])]
+    assert max(runs) <= 50 and sum(runs) == 7 * 1002
+
+
 def test_large_components_stay_exact():
     a = np.array([[3e7, 1.0], [2.0**40, 5.0]])
     assert nearest.products(a[:1], a[:1]).tolist() == [[9 * 10**14 + 1]]
