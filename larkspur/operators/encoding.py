@@ -13,8 +13,12 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from larkspur.session import shared_folder, shuffle_width
 
 # Fixed order of the two-valued category, and the prefixes of the encoded columns' names.
 GENDERS = ("Male", "Female")
@@ -22,19 +26,67 @@ ONE_HOT = {"country": "onehot", "risk_age_rank": "onehot_age_rank"}
 ORDINAL = {"gender": ("ordinal_gender", GENDERS)}
 REMAINDER = "remainder"
 
-# Levels travel through the driver and become columns; more than this is not a category.
+# Levels that become columns travel through the driver; beyond this, ``one_hot_sparse`` needs neither.
 MAX_LEVELS = 10_000
 
+# Tables of levels up to this size are sent to every executor.
+BROADCAST_BYTES = 8_000_000
+
 
 def fit_levels(df: DataFrame, column: str) -> list[str]:
     """Distinct non-missing values in code-point order."""
     found = df.where(F.col(column).isNotNull()).select(column).distinct().limit(MAX_LEVELS + 1)
     levels = sorted(row[0] for row in found.collect())
     if len(levels) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels")
+        raise ValueError(f"{column} has more than {MAX_LEVELS} levels; use level_table and one_hot_sparse")
     return levels
 
 
+def level_table(df: DataFrame, column: str) -> DataFrame:
+    """``level, index``: distinct non-missing values, numbered from 0 in their order (code points for text).
+
+    However many there are, none passes through the driver: values are cut into ranges, and a range's numbers
+    begin after the values of the ranges before it. The ranges are drawn from a sample, so they are fixed by a
+    checkpoint before anything is counted.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    found = df.where(F.col(column).isNotNull()).select(F.col(column).alias("level")).distinct()
+    placed = found.repartitionByRange(shuffle_width(spark), "level").withColumn("part", F.spark_partition_id()).checkpoint()
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("level")) - 1
+    numbered = placed.withColumn("place", place).join(F.broadcast(offsets), "part")
+    return numbered.select("level", (F.col("offset") + F.col("place")).alias("index")).checkpoint()
+
+
+def one_hot_sparse(df: DataFrame, column: str, levels: DataFrame, out: str) -> DataFrame:
+    """Add ``out``: the one-hot vector of ``column`` as a sparse ``spark.ml`` vector.
+
+    ``levels`` is a :func:`level_table`; unseen and missing values get zeros throughout. The vector has as many
+    slots as there are levels but holds one at most, and carries its length as an assembler expects it. Small
+    tables of levels are broadcast; for others rows move by their level, and missing ones stay where they are.
+    """
+    size = F.sum(F.length(F.col("level").cast("string")) + 24)
+    row = levels.agg(F.count(F.lit(1)).alias("n"), F.coalesce(size, F.lit(0)).alias("bytes")).first()
+    slots, small = row["n"], row["bytes"] <= BROADCAST_BYTES
+    renamed = levels.select(F.col("level").alias("__level"), F.col("index").cast("int").alias("__index"))
+    joined = df.join(F.broadcast(renamed) if small else renamed, F.col(column) == F.col("__level"), "left")
+    held = F.col("__index").isNotNull()
+    no_slots, no_values = F.array().cast("array<int>"), F.array().cast("array<double>")
+    sparse = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(slots).cast("int").alias("size"),
+        F.when(held, F.array("__index")).otherwise(no_slots).alias("indices"),
+        F.when(held, F.array(F.lit(1.0))).otherwise(no_values).alias("values"),
+    )
+    # The only way without Python from the fields of a vector to the type itself.
+    vector = F.from_json(F.to_json(F.struct(sparse.alias("v"))), StructType([StructField("v", VectorUDT())]))["v"]
+    described = vector.alias(out, metadata={"ml_attr": {"num_attrs": slots}})
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], described)
+
+
 def one_hot(df: DataFrame, column: str, levels: Sequence[str], prefix: str) -> DataFrame:
     """One 0/1 column per level; unseen and missing values get zeros throughout."""
     hot = {

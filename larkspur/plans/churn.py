@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.numeric import portable_hash
-from larkspur.operators import encoding, explore, features, pairing, sampling
+from larkspur.operators import encoding, explore, features, pairing, sampling, sketches
 from larkspur.plans.registry import query
+from larkspur.session import fresh_folder
 from larkspur.sources.tables import table
 
 CHURN_DATE = "2000-07-01"
@@ -447,6 +448,36 @@ def _box_sql(source: str, column: str) -> str:
     FROM {source}, box"""
 
 
+def _stored_summaries(df: DataFrame, column: str, by: str) -> DataFrame:
+    """Summaries of each group, as a load would leave them beside its rows."""
+    path = fresh_folder(df.sparkSession, "summaries")
+    summaries = sketches.summarize(df, column, [by])
+    summaries.write.parquet(path)
+    return df.sparkSession.read.schema(summaries.schema).parquet(path)
+
+
+@query("describe_line_price_by_sketches", _describe_sql("lineitem", "l_extendedprice"))
+def describe_line_price_by_sketches(spark, folder):
+    """Summaries of every month, merged; one more pass makes the quartiles exact."""
+    lines = table(spark, folder, "lineitem").withColumn("month", F.date_trunc("month", "l_shipdate"))
+    stored = _stored_summaries(lines, "l_extendedprice", "month")
+    return _rounded(sketches.describe(lines, "l_extendedprice", stored), "mean", "std", "p25", "p50", "p75")
+
+
+@query(
+    "order_price_by_year_merged",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(o_totalprice) AS n, count(*) - count(o_totalprice) AS missing,
+    round(avg(o_totalprice), 6) AS mean, round(stddev_pop(o_totalprice), 6) AS deviation,
+    min(o_totalprice) AS low, max(o_totalprice) AS high FROM orders GROUP BY ALL""",
+)
+def order_price_by_year_merged(spark, folder):
+    """Years described from the summaries of their days alone."""
+    orders = table(spark, folder, "orders").withColumn("day", F.to_date("o_orderdate"))
+    years = sketches.merge(_stored_summaries(orders, "o_totalprice", "day").withColumn("year", F.year("day")), ["year"])
+    deviation = F.sqrt(F.col("m2") / F.col("n")).alias("deviation")
+    return _rounded(years.select("year", "n", "missing", "mean", deviation, "low", "high"), "mean", "deviation")
+
+
 @query("age_box", CHURN_SQL + "," + _box_sql("churn_view", "age"))
 def age_box(spark, folder):
     return _rounded(explore.box_figures(churn_view(spark, folder), "age"), "q1", "median", "q3")
@@ -492,6 +523,38 @@ def one_hot_age_rank(spark, folder):
     return encoding.one_hot(ranked, "risk_age_rank", levels, "age").drop("risk_age_rank")
 
 
+def _with_slot(df: DataFrame, key: str, column: str, levels: DataFrame) -> DataFrame:
+    """Length of the one-hot vectors, their sum and, weighted by place, the slot that is set."""
+    fields = F.from_json(F.to_json(F.struct("hot")), "hot struct<size: long, indices: array<long>, values: array<double>>")["hot"]
+    encoded = encoding.one_hot_sparse(df, column, levels, "hot").select(key, fields.alias("f"))
+    total = F.aggregate("f.values", F.lit(0.0), lambda a, x: a + x).cast("int")
+    return encoded.select(key, F.col("f.size").alias("slots"), F.get("f.indices", F.lit(0)).alias("slot"), total.alias("set_slots"))
+
+
+@query(
+    "one_hot_part_names",
+    """SELECT p_partkey, (SELECT count(DISTINCT p_name) FROM part) AS slots,
+    CASE WHEN p_name IS NOT NULL THEN CAST(dense_rank() OVER (ORDER BY p_name NULLS LAST) - 1 AS BIGINT) END AS slot,
+    CAST(p_name IS NOT NULL AS INTEGER) AS set_slots FROM part""",
+)
+def one_hot_part_names(spark, folder):
+    part = table(spark, folder, "part").select("p_partkey", "p_name")
+    return _with_slot(part, "p_partkey", "p_name", encoding.level_table(part, "p_name"))
+
+
+@query(
+    "one_hot_ordering_customers",
+    """WITH levels AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) - 1 AS slot
+      FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL))
+    SELECT c_custkey, (SELECT count(*) FROM levels) AS slots, CAST(slot AS BIGINT) AS slot,
+    CAST(slot IS NOT NULL AS INTEGER) AS set_slots FROM customer LEFT JOIN levels ON c_custkey = o_custkey""",
+)
+def one_hot_ordering_customers(spark, folder):
+    """Levels of one table on another: customers without orders get zeros."""
+    levels = encoding.level_table(table(spark, folder, "orders"), "o_custkey")
+    return _with_slot(table(spark, folder, "customer").select("c_custkey"), "c_custkey", "c_custkey", levels)
+
+
 @query(
     "ordinal_gender",
     _churn_sql(

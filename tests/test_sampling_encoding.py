@@ -1,5 +1,7 @@
 import pytest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from larkspur.operators import encoding, sampling
@@ -49,6 +51,31 @@ def test_unseen_and_missing_levels_are_all_zero(spark):
     assert [tuple(r)[2:] for r in plain] == [(0, 1, 0), (0, 0, 0), (0, 0, 0)]
 
 
+def test_level_table_numbers_any_number_of_levels(spark):
+    words = spark.range(60_000).select(F.md5(F.col("id").cast("string")).alias("w"))
+    twice = words.unionByName(words).unionByName(spark.createDataFrame([(None,)], "w string"))
+    found = encoding.level_table(twice, "w")
+    rows = found.orderBy("index").collect()
+    assert [r["index"] for r in rows] == list(range(60_000))
+    assert [r["level"] for r in rows] == sorted(r["level"] for r in rows)
+    assert encoding.level_table(twice.where("w is null"), "w").count() == 0
+
+
+@pytest.mark.parametrize("room", [0, 10**6])
+def test_sparse_levels_feed_an_assembler(spark, monkeypatch, room):
+    monkeypatch.setattr(encoding, "BROADCAST_BYTES", room)
+    train = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "country string")
+    later = spark.createDataFrame([(0, "b", "x"), (1, "z", "y"), (2, None, None), (3, "b", "x")], "i int, country string, level string")
+    encoded = encoding.one_hot_sparse(later, "country", encoding.level_table(train, "country"), "hot")
+    assert encoded.columns == ["i", "country", "level", "hot"]
+    assembled = VectorAssembler(inputCols=["hot", "i"], outputCol="all").transform(encoded)
+    rows = {r["i"]: (r["hot"], list(r["all"].toArray())) for r in assembled.collect()}
+    assert {i: v for i, (_, v) in rows.items()} == {0: [0, 1, 0, 0], 1: [0, 0, 0, 1], 2: [0, 0, 0, 2], 3: [0, 1, 0, 3]}
+    assert rows[0][0] == SparseVector(3, [1], [1.0]) and rows[1][0] == SparseVector(3, [], [])
+    nothing = encoding.one_hot_sparse(later, "country", encoding.level_table(train.where("false"), "country"), "hot")
+    assert {r["hot"].size for r in nothing.collect()} == {0}
+
+
 def test_ordinal_order_and_unknown(spark):
     df = spark.createDataFrame([(0, "Male"), (1, "Female"), (2, "other")], "i int, gender string")
     loose = encoding.ordinal(F.col("gender"), encoding.GENDERS, strict=False)
