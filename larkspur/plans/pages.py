@@ -10,7 +10,7 @@ from larkspur.plans import retrieval, scoring
 from larkspur.plans.churn import CHURN_SQL, churn_view
 from larkspur.plans.registry import query
 from larkspur.session import fresh_folder, spread
-from larkspur.sources import collections, documents, schemas, tables
+from larkspur.sources import collections, documents, schemas, store, tables
 from larkspur.sources.tables import table
 
 ARTICLE_SQL = "nullif(regexp_extract(html, '<article>.*?</article>', 0, 's'), '')"
@@ -268,15 +268,14 @@ def customers_through_csv(spark, folder):
     return tables.read_customers(spark, path)
 
 
-@query(
-    "documents_upserted",
-    f"""WITH t AS (SELECT page_id, url, {TITLE_SQL} AS title FROM pages),
+UPSERTED_SQL = f"""WITH t AS (SELECT page_id, url, {TITLE_SQL} AS title FROM pages),
     e AS (SELECT title, min(page_id) AS a, max(page_id) AS b FROM t WHERE title IS NOT NULL GROUP BY title)
     SELECT e.title, url, CAST(2 AS INTEGER) AS n_contents FROM e
-    JOIN t ON page_id = CASE WHEN b % 2 = 1 THEN b ELSE a END""",
-)
-def documents_upserted(spark, folder):
-    """First versions of titles written, some replaced by their last, all scanned and validated again."""
+    JOIN t ON page_id = CASE WHEN b % 2 = 1 THEN b ELSE a END"""
+
+
+def _versions(spark, folder):
+    """The first version of every title, and the last of some."""
     pages = table(spark, folder, "pages").select("page_id", "url", _title().alias("title")).where("title IS NOT NULL")
     ends = pages.groupBy("title").agg(F.min("page_id").alias("a"), F.max("page_id").alias("b"))
     contents = F.array("title", F.lit("a \"quoted\"\nline")).alias("contents")
@@ -284,8 +283,25 @@ def documents_upserted(spark, folder):
     def version(place):
         return pages.join(ends.select(F.col(place).alias("page_id")), "page_id", "left_semi").select("title", contents, "url", "page_id")
 
+    return version("a"), version("b").where("page_id % 2 = 1")
+
+
+@query("documents_upserted", UPSERTED_SQL)
+def documents_upserted(spark, folder):
+    """First versions of titles written, some replaced by their last, all scanned and validated again."""
     path = fresh_folder(spark, "documents")
-    documents.write_documents(version("a"), path)
-    documents.write_documents(version("b").where("page_id % 2 = 1"), path)
+    for rows in _versions(spark, folder):
+        documents.write_documents(rows, path)
     found = documents.read_documents(spark, path)
     return found.select("title", "url", F.size("contents").alias("n_contents"))
+
+
+@query("documents_in_store", UPSERTED_SQL)
+def documents_in_store(spark, folder):
+    """The same through the versioned store; the titles are looked up by their key."""
+    path = fresh_folder(spark, "store")
+    first, later = _versions(spark, folder)
+    store.upsert(first, path, "title")
+    store.upsert(later, path, "title")
+    found = store.lookup(first.select("title"), path)
+    return found.select("title", "url", F.size("contents").alias("n_contents"))

@@ -34,7 +34,7 @@ class Snapshot:
         return self.spark.read.schema(StructType.fromJson(self.schemas[name])).parquet(f"{self.folder}/{name}")
 
 
-def _commits(spark: SparkSession, path: str) -> list[tuple[int, str, str, str]]:
+def commits(spark: SparkSession, path: str) -> list[tuple[int, str, str, str]]:
     """All commits, oldest first; of two with one number the one of the later name counts as later."""
     try:
         rows = spark.read.schema(COMMITS).parquet(f"{path}/commits").collect()
@@ -44,7 +44,7 @@ def _commits(spark: SparkSession, path: str) -> list[tuple[int, str, str, str]]:
 
 
 def current(spark: SparkSession, path: str) -> Snapshot | None:
-    found = _commits(spark, path)
+    found = commits(spark, path)
     if not found:
         return None
     version, folder, facts, schemas = found[-1]
@@ -66,10 +66,13 @@ def write_snapshot(
     for name, rows in tables.items():
         writer = rows.write.partitionBy(by[name]) if by and name in by else rows.write
         writer.parquet(f"{path}/{folder}/{name}")
+    return commit(spark, path, folder, dict(facts or {}), {name: rows.schema.jsonValue() for name, rows in tables.items()})
+
+
+def commit(spark: SparkSession, path: str, folder: str, facts: Mapping, schemas: Mapping) -> Snapshot:
+    """Make what was written to ``folder`` the newest state."""
     before = current(spark, path)
-    version = before.version + 1 if before else 0
-    schemas = {name: rows.schema.jsonValue() for name, rows in tables.items()}
-    row = (version, folder, json.dumps(dict(facts or {})), json.dumps(schemas))
+    row = (before.version + 1 if before else 0, folder, json.dumps(facts), json.dumps(schemas))
     spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
     return open_snapshot(spark, path)
 
@@ -79,7 +82,7 @@ def remove_old(spark: SparkSession, path: str, keep: int = 1) -> int:
 
     Only call this while nobody writes, as the folder of an unfinished write looks like one of a dead write.
     """
-    wanted = {folder for _, folder, _, _ in _commits(spark, path)[-keep:]}
+    wanted = {folder for _, folder, _, _ in commits(spark, path)[-keep:]}
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(f"{path}/data")
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
