@@ -10,6 +10,13 @@ from larkspur.functions.text import each_token, tokens
 # Room for this many chunks per document in an integer chunk id.
 CHUNKS_PER_DOCUMENT = 1_000_000
 
+#: Bytes of text whose terms one task counts: they set the memory it takes, whatever the size of the table.
+TASK_BYTES = 8_000_000
+
+
+def tasks_for(size: int | None) -> int:
+    return max(1, -(-(size or 0) // TASK_BYTES))
+
 
 def chunk_documents(documents: DataFrame, *keep: str) -> DataFrame:
     """One row per entry of ``contents``: ``file_name, url, title, seq, content`` and ``keep``.
@@ -49,10 +56,11 @@ def seq_between(chunks: DataFrame, first: int, last: int) -> DataFrame:
 def sparse_vectors(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Term table ``key, term, tf, dl``: the sparse vector of every text.
 
-    Texts are spread by key once. Counting terms, and whatever is later grouped by key, needs no
-    further exchange.
+    Texts are spread by key once, to as many tasks as their bytes ask for. Counting terms, and whatever is later
+    grouped by key, needs no further exchange.
     """
-    words = texts.repartition(F.col(key)).select(key, tokens(F.col(text)).alias("words"))
+    size = texts.agg(F.sum(F.octet_length(F.col(text).cast("string")).cast("long"))).first()[0]
+    words = texts.repartition(tasks_for(size), F.col(key)).select(key, tokens(F.col(text)).alias("words"))
     each = words.select(key, F.size("words").alias("dl"), each_token(F.col("words")).alias("term"))
     counted = each.where(F.col("term").isNotNull()).groupBy(key, "term").agg(
         F.count("*").alias("tf"), F.first("dl").cast("long").alias("dl")

@@ -125,6 +125,25 @@ def test_collection_is_replaced_and_filter_reaches_the_scan(spark, tmp_path):
     assert collections.open_collection(spark, path, "sparse").columns == ["file_name", "term", "tf", "dl"]
 
 
+def test_terms_are_counted_by_as_many_tasks_as_texts_need(spark, collect, monkeypatch):
+    rows = [(i % 90, f"a b{i} a") for i in range(100)] + [(None, "a"), (None, "a c"), (200, None), (201, "")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = collect(corpus.sparse_vectors(texts, "doc_id"))
+    assert (None, "a", 2) in [row[:3] for row in whole] and (5, "a", 4, 3) in whole
+    monkeypatch.setattr(corpus, "TASK_BYTES", 20)
+    spread = corpus.sparse_vectors(texts, "doc_id")
+    assert collect(spread) == whole
+    assert spread.rdd.getNumPartitions() > 20
+
+
+def test_tables_made_from_the_stored_chunks(spark, tmp_path, collect):
+    path = str(tmp_path / "c")
+    chunks = corpus.chunk_documents(law(spark))
+    collections.create_collection(path, chunks, sparse=lambda stored: corpus.sparse_vectors(stored, "file_name", "content"))
+    expected = corpus.sparse_vectors(chunks, "file_name", "content")
+    assert collect(collections.open_collection(spark, path, "sparse")) == collect(expected)
+
+
 def test_questions_json(spark, tmp_path, collect):
     (tmp_path / "qa.json").write_text('{"question": "q1", "answer": "a1"}\n')
     qa = tables.read_questions(spark, str(tmp_path / "qa.json"))
