@@ -250,8 +250,7 @@ def stored_collection(spark, folder):
     path = fresh_folder(spark, "collection")
     key = corpus.chunk_id(F.col("doc_id"), F.col("seq"))
     pieces = retrieval.chunks(spark, folder).withColumn("chunk_id", key)
-    sparse = corpus.sparse_vectors(pieces, "chunk_id", "content")
-    collections.create_collection(path, pieces, sparse=sparse)
+    collections.create_collection(path, pieces, sparse=lambda stored: corpus.sparse_vectors(stored, "chunk_id", "content"))
     picked = corpus.seq_between(collections.open_collection(spark, path), 0, 1)
     vectors = collections.open_collection(spark, path, "sparse")
     sizes = vectors.groupBy("chunk_id").agg(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -59,14 +59,23 @@ def open_snapshot(spark: SparkSession, path: str) -> Snapshot:
 
 
 def write_snapshot(
-    spark: SparkSession, path: str, tables: Mapping[str, DataFrame], by: Mapping[str, str] | None = None, facts: Mapping | None = None
+    spark: SparkSession,
+    path: str,
+    tables: Mapping[str, DataFrame | Callable[[Snapshot], DataFrame]],
+    by: Mapping[str, str] | None = None,
+    facts: Mapping | None = None,
 ) -> Snapshot:
-    """Store ``tables`` as the new state; ``by`` names the column that a table is partitioned by."""
-    folder = f"data/{uuid.uuid4().hex}"
-    for name, rows in tables.items():
+    """Store ``tables`` as the new state; ``by`` names the column that a table is partitioned by.
+
+    A table may be a function of the tables before it, which it gets as they were written.
+    """
+    folder, schemas = f"data/{uuid.uuid4().hex}", {}
+    for name, made in tables.items():
+        rows = made if isinstance(made, DataFrame) else made(Snapshot(spark, -1, f"{path}/{folder}", {}, schemas))
         writer = rows.write.partitionBy(by[name]) if by and name in by else rows.write
         writer.parquet(f"{path}/{folder}/{name}")
-    return commit(spark, path, folder, dict(facts or {}), {name: rows.schema.jsonValue() for name, rows in tables.items()})
+        schemas[name] = rows.schema.jsonValue()
+    return commit(spark, path, folder, dict(facts or {}), schemas)
 
 
 def commit(spark: SparkSession, path: str, folder: str, facts: Mapping, schemas: Mapping) -> Snapshot:
