@@ -12,14 +12,19 @@ of ``bm25_topk``; a bar only saves work.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import each_token, token_set, tokens
+from larkspur.operators.corpus import tasks_for
 from larkspur.operators.retrieval import B, K1, TOP_K
 from larkspur.operators.topk import DIGITS, rank_hits
-from larkspur.session import shared_folder, spread
+from larkspur.session import shared_folder
 from larkspur.sources.snapshots import Snapshot, open_snapshot, remove_old, write_snapshot
 
 #: Texts of a block, and postings of a term partition, on average.
@@ -29,6 +34,8 @@ PARTITION_POSTINGS = 20_000_000
 FIRST_BLOCKS = 2
 #: Terms of a search that are pushed into the scan one by one; beyond, their partitions are.
 PUSHED_TERMS = 2000
+#: Queries that a block is scored for at once.
+SLICE_QUERIES = 4096
 #: Shares are summed as whole numbers of this size, which is exact in any order.
 UNIT = 10**12
 
@@ -43,22 +50,26 @@ def build_index(
     """
     spark = corpus.sparkSession
     shared_folder(spark)
-    known = corpus.select(F.col(item_id).alias("item"), text).where(F.col(text).isNotNull())
-    counted = spread(known, "item").select("item", tokens(F.col(text)).alias("words"))
-    each = counted.select("item", F.size("words").alias("dl"), each_token(F.col("words")).alias("term"))
-    # One row for each text and term; the texts are tokenised once for all that follows.
-    entries = each.groupBy("item", "dl", "term").agg(F.count("term").alias("tf")).checkpoint()
-    seen = entries.agg(F.sum("tf").alias("words"), F.count("term").alias("postings")).first()
-    texts, words, postings = known.count(), seen["words"] or 0, seen["postings"]
+    known = corpus.select(F.col(item_id).alias("item"), F.col(text).alias("text")).where("text IS NOT NULL")
+    words = tokens(F.col("text"))
+    sizes = known.select(F.octet_length("text").alias("bytes"), F.size(words).alias("words"), F.size(F.array_distinct(words)).alias("terms"))
+    seen = sizes.agg(F.count(F.lit(1)).alias("texts"), *[F.sum(F.col(c).cast("long")).alias(c) for c in sizes.columns]).first()
+    texts, total, postings = seen["texts"], seen["words"] or 0, seen["terms"] or 0
     blocks, parts = max(1, -(-texts // block_texts)), max(1, math.ceil(postings / PARTITION_POSTINGS))
-    average = words / texts if words else 1.0
+    average = total / texts if total else 1.0
     share = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / average))
-    placed = entries.where("term IS NOT NULL").withColumns(
-        {"block": F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"), "part": _part(F.col("term"), parts), "share": share}
-    )
-    lists = placed.groupBy("part", "term", "block").agg(
+    # Texts move once, to the task of their block; it counts terms and lists postings without a further exchange.
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
+    dealt = known.withColumn("block", block).repartition(min(blocks, tasks_for(seen["bytes"])), "block")
+    counted = dealt.select("block", "item", tokens(F.col("text")).alias("words"))
+    each = counted.select("block", "item", F.size("words").alias("dl"), each_token(F.col("words")).alias("term")).where("term IS NOT NULL")
+    entries = each.groupBy("block", "item", "dl", "term").agg(F.count("term").alias("tf")).withColumn("share", share)
+    lists = entries.groupBy("block", "term").agg(
         F.count(F.lit(1)).alias("n"), F.max("share").alias("most"), F.array_sort(F.collect_list(F.struct("item", "tf", "dl"))).alias("postings")
     )
+    # Three arrays take half the room of an array of structs.
+    flat = [F.col(f"postings.{name}").alias(many) for name, many in (("item", "items"), ("tf", "tfs"), ("dl", "dls"))]
+    lists = lists.select(_part(F.col("term"), parts).alias("part"), "term", "block", "n", "most", *flat)
     lists = lists.repartitionByRange("part", "term", "block").sortWithinPartitions("part", "term", "block")
     facts = {"texts": texts, "average": average, "k1": k1, "b": b, "parts": parts, "blocks": blocks, "item": item_id}
     made = write_snapshot(spark, path, {"postings": lists}, {"postings": "part"}, facts)
@@ -89,6 +100,44 @@ def _points(weight: Column, share: Column) -> Column:
     return F.round(weight * share * UNIT).cast("long")
 
 
+def _of_block(facts: dict, k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Scores one block's texts for the queries that ask for it."""
+    k1, b, average = facts["k1"], facts["b"], facts["average"]
+
+    def run(asked: pa.Table, lists: pa.Table) -> pa.Table:
+        kinds = {"query_id": asked.schema.field("query_id").type, "item": lists.schema.field("items").type.value_type, "points": pa.int64()}
+        if not asked.num_rows or not lists.num_rows:
+            return pa.schema(kinds.items()).empty_table()
+        columns = {name: pa.concat_arrays([part.flatten() for part in lists[name].chunks]) for name in ("items", "tfs", "dls")}
+        items = pc.dictionary_encode(columns["items"], null_encoding="encode")
+        place, size = items.indices.to_numpy(zero_copy_only=False), len(items.dictionary)
+        tf, dl = (columns[name].to_numpy().astype(float) for name in ("tfs", "dls"))
+        share = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / average))
+        ends = np.cumsum(pc.list_value_length(lists["items"]).to_numpy())
+        where = {term: (end - count, end) for term, end, count in zip(lists["term"].to_pylist(), ends, np.diff(ends, prepend=0), strict=True)}
+        wanted: dict = {}
+        for query, term, weight in zip(*(asked[name].to_pylist() for name in ("query_id", "term", "weight")), strict=True):
+            if term in where:
+                wanted.setdefault(query, []).append((*where[term], weight))
+        queries, texts, points = [], [], []
+        for query, terms in wanted.items():
+            sums, held = np.zeros(size, np.int64), np.zeros(size, bool)
+            for start, end, weight in terms:
+                np.add.at(sums, place[start:end], np.floor(weight * share[start:end] * UNIT + 0.5).astype(np.int64))
+                held[place[start:end]] = True
+            found = np.flatnonzero(held)
+            if len(found) > k:  # what may be rounded to the score of the k-th stays
+                found = found[sums[found] >= np.partition(sums[found], -k)[-k] - UNIT // 10**DIGITS]
+            queries += [query] * len(found)
+            texts.append(found)
+            points.append(sums[found])
+        picked = np.concatenate(texts) if texts else np.zeros(0, np.int64)
+        values = [queries, items.dictionary.take(pa.array(picked)), np.concatenate(points) if points else picked]
+        return pa.table([pa.array(v, kind) for v, kind in zip(values, kinds.values(), strict=True)], schema=pa.schema(kinds.items()))
+
+    return run
+
+
 def search(queries: DataFrame, index: Snapshot, k: int = TOP_K, idf: bool = True, first_blocks: int = FIRST_BLOCKS) -> DataFrame:
     """The k texts of highest BM25 score for each query (query_id, text), as ``bm25_topk`` gives them."""
     facts, item = index.facts, index.facts["item"]
@@ -104,14 +153,18 @@ def search(queries: DataFrame, index: Snapshot, k: int = TOP_K, idf: bool = True
     order = Window.partitionBy("query_id").orderBy(F.col("promise").desc(), "block")
     best = promised.withColumn("place", F.row_number().over(order)).where(F.col("place") <= first_blocks).drop("place").checkpoint()
 
+    slices = max(1, -(-exploded.select("query_id").distinct().count() // SLICE_QUERIES))
+    kinds = {f.name: f.dataType.simpleString() for f in [*exploded.schema.fields, *rows.schema.fields]}
+    kinds["item"] = rows.schema["items"].dataType.elementType.simpleString()
+
     def scored(blocks: DataFrame) -> DataFrame:
-        """Scores of all texts of each query's ``blocks`` that hold a term."""
+        """The best texts of each of a query's ``blocks``: the k-th and all that may tie with it."""
         asked = blocks.select("query_id", "block").join(weighted, "query_id")
-        lists = asked.join(rows.select("term", "block", "postings"), ["term", "block"])
-        each = lists.select("query_id", "weight", F.inline("postings"))
-        length = facts["k1"] * (1 - facts["b"] + facts["b"] * F.col("dl") / facts["average"])
-        points = _points(F.col("weight"), F.col("tf") * (facts["k1"] + 1) / (F.col("tf") + length))
-        sums = each.groupBy("query_id", "item").agg(F.sum(points).alias("points"))
+        asked = asked.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int"))
+        lists = rows.select("term", "block", "items", "tfs", "dls")
+        lists = lists.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        found = asked.groupBy("block", "slice").cogroup(lists.groupBy("block", "slice"))
+        sums = found.applyInArrow(_of_block(facts, k), f"query_id {kinds['query_id']}, item {kinds['item']}, points long")
         return sums.select("query_id", F.col("item").alias(item), F.round(F.col("points") / UNIT, DIGITS).alias("score"))
 
     first = rank_hits(scored(best), k, item).checkpoint()

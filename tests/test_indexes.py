@@ -59,6 +59,24 @@ def test_search_reads_the_partitions_of_its_terms(spark, texts, questions, monke
     assert rows_of(inverted.search(questions, index, 2)) == rows_of(retrieval.bm25_topk(questions, texts.where("text IS NOT NULL"), 2))
 
 
+def test_blocks_keep_ties_and_questions_go_in_slices(spark, texts, questions, monkeypatch):
+    copies = spark.range(1000, 1040).select(F.col("id").alias("doc_id"), F.lit("w1 w2 w3").alias("text"))
+    several = texts.where("text IS NOT NULL").unionByName(copies)
+    monkeypatch.setattr(inverted, "SLICE_QUERIES", 2)
+    index = inverted.build_index(several, fresh_folder(spark, "index"), block_texts=64)
+    assert rows_of(inverted.search(questions, index, 5)) == rows_of(retrieval.bm25_topk(questions, several, 5))
+
+
+def test_texts_move_once_and_hits_of_a_block_stay_few(spark, texts, questions, monkeypatch):
+    index = inverted.build_index(texts, fresh_folder(spark, "index"), block_texts=64)
+    assert {"items", "tfs", "dls"} <= set(index.table("postings").columns)
+    seen = []
+    real = inverted.rank_hits
+    monkeypatch.setattr(inverted, "rank_hits", lambda hits, k, item: seen.append(hits.count()) or real(hits, k, item))
+    inverted.search(questions.where("query_id = 6"), index, 1)
+    assert seen[0] <= 2 * inverted.FIRST_BLOCKS  # 300 texts hold a term
+
+
 def test_index_of_nothing(spark, texts, questions):
     index = inverted.build_index(texts.limit(0), fresh_folder(spark, "index"))
     assert inverted.search(questions, index).count() == 0
