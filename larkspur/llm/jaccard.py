@@ -136,9 +136,18 @@ class Sizes:
         self.part, self.whole = part, whole
         self.lows = [1]
 
+    def _further(self) -> None:
+        self.lows.append(self.lows[-1] * self.whole**2 // self.part**2 + 1)
+
+    def low(self, c: int) -> int:
+        """The lowest size of class ``c``. Only classes that are asked for are listed: their sizes grow without end."""
+        while len(self.lows) <= c:
+            self._further()
+        return self.lows[c]
+
     def class_of(self, n: int) -> int:
         while self.lows[-1] <= n:
-            self.lows.append(self.lows[-1] * self.whole**2 // self.part**2 + 1)
+            self._further()
         a, b = 0, len(self.lows)
         while b - a > 1:
             m = (a + b) // 2
@@ -147,28 +156,20 @@ class Sizes:
 
     def lows_to(self, n: int) -> list[int]:
         """The lowest sizes of all classes up to that of ``n``, and of the two beyond."""
-        self.class_of(n)
-        self.class_of(self.lows[-1])
+        self.low(self.class_of(n) + 2)
         return list(self.lows)
 
     def difference(self, c: int) -> int:
         """The most shingles in which a linked pair with its larger set in class ``c`` differs."""
-        self.class_of(self.lows[-1])
-        while len(self.lows) <= c + 1:
-            self.class_of(self.lows[-1])
-        return 2 * (self.lows[c + 1] - 1) * (self.whole - self.part) // (self.whole + self.part)
+        return 2 * (self.low(c + 1) - 1) * (self.whole - self.part) // (self.whole + self.part)
 
     def reaches(self, n: int, c: int) -> bool:
         """Whether a set of ``n`` may link with one of the larger class ``c``."""
-        self.class_of(self.lows[-1])
-        while len(self.lows) <= c:
-            self.class_of(self.lows[-1])
-        return n * self.whole >= self.lows[c] * self.part
+        return n * self.whole >= self.low(c) * self.part
 
     def apart(self, n: int, c: int) -> int:
         """The most shingles in which a set of ``n`` differs from a linked one, the larger of both in class ``c``."""
-        self.difference(c)  # knows the class beyond
-        largest = min(n * self.whole // self.part, self.lows[c + 1] - 1)
+        largest = min(n * self.whole // self.part, self.low(c + 1) - 1)
         return (n + largest) * (self.whole - self.part) // (self.whole + self.part)
 
     def parts(self, c: int) -> int:

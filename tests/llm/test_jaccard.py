@@ -86,6 +86,16 @@ def test_texts_joined_by_shuffling(documents, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, (n, c) in expected.items() if i == c or n == 0}
 
 
+def test_size_classes_do_not_grow_with_the_sets_that_are_read():
+    sizes = jaccard.Sizes(80, 100)
+    one = np.unique(np.random.default_rng(1).integers(0, 2**64, 300, dtype=np.uint64))
+    jaccard.signatures(one, sizes)
+    listed = list(sizes.lows)
+    for _ in range(200):
+        jaccard.signatures(one, sizes)
+    assert sizes.lows == listed and len(listed) < 30
+
+
 def test_odd_rows(documents):
     long = "word " * 300_000
     docs = documents(["a b c d", "a b c d", "a b c d", long, None, "x"], ids=[7, 7, None, 1, None, None])
