@@ -30,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import checkpointed, join_counted, release, slices, stored
+from larkspur.llm.common import checkpointed, join_counted, release, slices, stored, stored_texts
 from larkspur.llm.components import components
 
-#: Shingles that a cell holds, about: at 80 bytes each 400 MB of a Python worker, as two share 1.2 GB beside the heap.
-CELL_SHINGLES = 5_000_000
+#: Shingles of a family's chunk, about. A chunk that meets probes holds twice as many: at 28 bytes each 140 MB of a
+#: Python worker, as two share 1.2 GB with all that the JVM holds beside its heap.
+CELL_SHINGLES = 2_500_000
 #: Sets that a cell holds, about. This bounds a task's time, as sets take little memory beside their shingles.
 CELL_SETS = 16_384
 #: How often sets with too few common signatures for any link are taken out.
@@ -222,6 +223,7 @@ def _described(width: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.R
             digests = pa.array([digest(s) if len(s) else None for s in sets], pa.int64())
             columns = [batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), digests]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_shingles", "digest"])
+        release()
 
     return run
 
@@ -263,6 +265,7 @@ def _sets(width: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Record
             lists = pa.array(packed, pa.binary())
             taken = batch.take(pa.array(same, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), lists], names=["node", "cells", "shingles"])
+        release()
 
     return run
 
@@ -291,6 +294,38 @@ class Classes:
         return i
 
 
+def rare_first(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each value, which have ``BITS`` bits, its number among the different ones, and how often each of these is
+    there; rare ones have small numbers. ``values`` are overwritten."""
+    spare = 64 - BITS
+    if len(values) < 1 << spare:  # a value and its place are one number, so sorting takes no room
+        values <<= U(spare)
+        for start in range(0, len(values), 1 << 18):
+            values[start : start + (1 << 18)] |= np.arange(start, min(start + (1 << 18), len(values)), dtype=U)
+        values.sort()
+        place = np.empty(len(values), np.int32)
+        np.bitwise_and(values, U((1 << spare) - 1), out=place, casting="unsafe")
+        values >>= U(spare)
+    else:
+        place = np.argsort(values, kind="stable")
+        values = values[place]
+    fresh = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    del values
+    number = np.cumsum(fresh, dtype=np.int32)
+    number -= 1
+    del fresh
+    seen = np.bincount(number).astype(np.int32)
+    by_count = np.argsort(seen, kind="stable").astype(np.int32)
+    rank = np.empty(len(seen), np.int32)
+    rank[by_count] = np.arange(len(seen), dtype=np.int32)
+    seen = seen[by_count]
+    del by_count
+    tokens = np.empty(len(place), np.int32)
+    tokens[place] = rank[number]
+    return tokens, seen
+
+
 def linked_classes(sets: list[np.ndarray], sizes: Sizes, labels: list[int] | None = None) -> list[tuple[int, int]]:
     """Links (places in ``sets``) that join all sets which the threshold connects; a forest.
 
@@ -307,26 +342,23 @@ def linked_classes(sets: list[np.ndarray], sizes: Sizes, labels: list[int] | Non
     order = np.argsort(size, kind="stable")
     size = size[order]
     bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(size)))
-    joined = np.concatenate([sets[i] for i in order])
+    ordered = [sets[i] for i in order]
     sets.clear()  # the caller's list: large cells need the room
-    _, inverse, seen = np.unique(joined, return_inverse=True, return_counts=True)
-    del joined
-    by_count = np.argsort(seen, kind="stable")
-    rank = np.empty(len(seen), np.int32)
-    rank[by_count] = np.arange(len(seen), dtype=np.int32)
-    tokens = rank[inverse.reshape(-1)]  # small ranks are rare in this cell
-    del inverse, rank
-    alone = int((seen == 1).sum())  # ranks below are in one set only
+    joined = [np.concatenate(ordered)]
+    del ordered
+    tokens, seen = rare_first(joined.pop())  # small ranks are rare in this cell
+    alone = int(np.searchsorted(seen, 2))  # ranks below are in one set only
     least = -(-size * sizes.part // sizes.whole)
     prefix = size - least + 1
 
     # Index lists over the prefixes: entries by token, then by size, with their positions.
-    mine = [np.sort(tokens[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    del tokens
+    mine = [tokens[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    for each in mine:
+        each.sort()
     heads = [m[:p] for m, p in zip(mine, prefix, strict=True)]
     head = np.concatenate(heads)
-    owner = np.repeat(np.arange(count), prefix)
-    position = np.concatenate([np.arange(p) for p in prefix])
+    owner = np.repeat(np.arange(count, dtype=np.int32), prefix)
+    position = np.concatenate([np.arange(p, dtype=np.int32) for p in prefix])
     listed = np.flatnonzero(head >= alone)
     listed = listed[np.argsort(head[listed], kind="stable")]
     owner, position = owner[listed], position[listed]
@@ -383,7 +415,7 @@ def _solved(part: int, whole: int) -> Callable[[Iterable[pa.RecordBatch]], Itera
             at = list(seen.values())
             if len(at) > 1:
                 known = [labels[i] for i in at]
-                picked = [sets[i] for i in at]
+                picked = [unpacked_set(sets[i]) for i in at]
                 sets.clear()
                 links = linked_classes(picked, sizes, known)
                 out.extend((nodes[at[a]], nodes[at[b]]) for a, b in links)
@@ -400,7 +432,7 @@ def _solved(part: int, whole: int) -> Callable[[Iterable[pa.RecordBatch]], Itera
                     key, nodes, labels, sets = cell, [], [], []
                 nodes.append(ids[i])
                 labels.append(known[i])
-                sets.append(unpacked_set(values[i].as_py()))
+                sets.append(values[i].as_py())
             if len(out) > 10_000:
                 yield batch_of(out)
                 out = []
@@ -442,7 +474,7 @@ def _classified(docs: DataFrame, doc_id: str, text: str, width: int, threshold:
     chosen = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     hashed = chosen.select("doc_id", "text", _text_hash("text").alias("text_hash"))
     schema = "doc_id long, text_hash long, n_shingles long, digest long"
-    described = stored(hashed.mapInArrow(_described(width), schema), "sets")
+    described = stored_texts(hashed.mapInArrow(_described(width), schema), "sets")
     kinds = described.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"))
 
     # Families: a set is tied to the smallest one with the same signature.
@@ -450,7 +482,7 @@ def _classified(docs: DataFrame, doc_id: str, text: str, width: int, threshold:
     node = F.xxhash64("digest", "class")
     group = Window.partitionBy("signature")
     shared = written.select(node.alias("node"), "signature", "need").withColumn("n", F.count("*").over(group)).where("n > 1").drop("n")
-    shared = stored(shared, "signatures")
+    shared = stored_texts(shared, "signatures")
     for _ in range(PRUNINGS):
         alive = shared.groupBy("node").agg(F.count_distinct("signature").alias("c"), F.max("need").alias("least")).where("c >= least").select("node")
         shared = stored(shared.join(alive, "node").withColumn("n", F.count("*").over(group)).where("n > 1").drop("n"), "signatures")
@@ -519,7 +551,7 @@ def _links(chosen: DataFrame, member: DataFrame, width: int, sizes: Sizes, cell_
     held = member.groupBy("family").agg(chunks.alias("chunks"))
     cells = checkpointed(member.join(held, "family").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int")))
     alone = cells.select("node", "family", "first", "chunk", F.lit(0).alias("probe"), F.col("node").alias("label"))
-    first = stored(_solve(chosen, alone, width, part, whole), "links")
+    first = stored_texts(_solve(chosen, alone, width, part, whole), "links")
     cut = cells.where("chunks > 1")
     if cut.isEmpty():
         return first
@@ -536,7 +568,7 @@ def _links(chosen: DataFrame, member: DataFrame, width: int, sizes: Sizes, cell_
     probes = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*columns)
     index = labelled.join(groups, "family").withColumn("probe", F.explode(F.sequence(F.lit(0), F.col("probes") - 1))).select(*columns)
     second = _solve(chosen, index.unionByName(probes), width, part, whole)
-    return stored(first.unionByName(second), "links")
+    return stored_texts(first.unionByName(second), "links")
 
 
 def _solve(chosen: DataFrame, cells: DataFrame, width: int, part: int, whole: int) -> DataFrame:

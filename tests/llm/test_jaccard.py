@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from larkspur.llm import jaccard
+from larkspur.llm.common import BATCH_SETTING, TEXT_ROWS, stored_texts
 from larkspur.llm.components import components
 from tests.llm.brute import jaccard_components
 
@@ -96,6 +98,42 @@ def test_size_classes_do_not_grow_with_the_sets_that_are_read():
     assert sizes.lows == listed and len(listed) < 30
 
 
+def test_a_cell_takes_few_bytes_for_a_shingle():
+    rng = np.random.default_rng(2)
+    apart = [np.unique(rng.integers(0, 1 << jaccard.BITS, 500, dtype=np.uint64)) for _ in range(300)]
+    for most in (2, 200):  # few different shingles, and many
+        tracemalloc.start()
+        sets = [s.copy() for s in apart[:most] * (300 // most)]
+        shingles = sum(map(len, sets))
+        links = jaccard.linked_classes(sets, jaccard.Sizes(90, 100))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(links) == most * (300 // most) - most
+        assert peak / shingles < 36
+    assert 2 * 36 * jaccard.CELL_SHINGLES < 200_000_000  # a chunk with its probes
+
+
+def test_numbers_of_shingles_in_one_word_and_by_places(monkeypatch):
+    values = np.random.default_rng(3).integers(0, 500, 4000, dtype=np.uint64) << np.uint64(3)
+    _, inverse, seen = np.unique(values, return_inverse=True, return_counts=True)
+    found = jaccard.rare_first(values.copy())
+    monkeypatch.setattr(jaccard, "BITS", 60)
+    for tokens, counts in (found, jaccard.rare_first(values.copy())):
+        assert np.array_equal(counts, np.sort(seen)) and np.array_equal(counts[tokens], seen[inverse])
+        assert len(set(zip(tokens.tolist(), values.tolist(), strict=True))) == len(seen)
+
+
+def test_python_gets_few_texts_at_once(spark, documents):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    before = spark.conf.get(BATCH_SETTING)
+    found = stored_texts(documents(["a b c"] * 1500).coalesce(1).mapInArrow(sizes, "n long"), "sizes").collect()
+    assert sum(r["n"] for r in found) == 1500 and max(r["n"] for r in found) <= TEXT_ROWS
+    assert spark.conf.get(BATCH_SETTING) == before
+
+
 def test_odd_rows(documents):
     long = "word " * 300_000
     docs = documents(["a b c d", "a b c d", "a b c d", long, None, "x"], ids=[7, 7, None, 1, None, None])
